@@ -1,20 +1,22 @@
 """Operator 2: language-model scores from a weighted backoff automaton.
 
-States: the root, with an arc per training word (absolute discounting), and below it byte contexts of two, one and no bytes.
-An unknown word takes the root's failure arc and is spelled out; a byte without an arc at its state takes that
-state's failure arc to the shorter context. A text is read once, left to right, adding log10 weights. Only texts whose
-crc32(doc_id) mod 7 is not 2 are learned from.
-
-Rows are dealt into blocks of about ``BLOCK_CHARS`` characters by a hash; a block asks for the counts of its own distinct words,
-so what a worker holds depends on the block, and no worker or driver holds the vocabulary. Words are known by 64-bit hash. The
-byte table has at most 256**3 entries and is broadcast. Null texts count as empty and are one end token; repeated
-rows are each scored; null ids are learned from and not held out.
+States: the root, and one per context word, a word that holds at least 1/``CONTEXT_SHARE`` of the training tokens. An arc of a
+context state is a word bigram, an arc of the root a word; counts are absolutely discounted and interpolated. A word without an
+arc takes the state's failure arc to the root; one without an arc there takes the root's arc of the unknown word, which
+holds all discounted mass, so every state's probabilities sum to 1 over the vocabulary and the unknown word. A text starts in the
+state of the end token and is read once, left to right, adding log10 weights: the state is the word before, so a block's tokens
+are traversed as arrays. Only texts whose crc32(doc_id) mod 7 is not 2 are learned from, all of them whole.
+
+Rows are dealt into blocks of about ``BLOCK_CHARS`` characters; a block asks for the counts of its own distinct words and arcs, so
+what a worker holds depends on the block, and no worker or driver holds the vocabulary. Words are known by 64-bit hash. The
+context words are at most ``CONTEXT_SHARE`` by their definition. Null texts count as empty and are one end token; repeated
+rows are each scored; null ids are learned from and not held out; without training rows every word is unknown, of score 0.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,16 @@ from pyspark.sql import DataFrame, functions as F
 from ..shipping import materialize, ship_package
 
 BLOCK_CHARS = 16_000_000
+CONTEXT_SHARE = 1000
 DISCOUNT = 0.75
 END = b"\n"  # cannot be a word
+#: Distinct words a counting worker holds before it passes them on.
+HELD_WORDS = 500_000
+#: Neighbouring ids that go to one block together, so that their texts compress well on the way.
+NEIGHBOURS = 64
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _hashes(words) -> np.ndarray:
     import xxhash
 
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words)).view(np.int64)
@@ -43,110 +50,146 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _ask(key, table):
-    """A block's distinct words with their training counts (kind 0), and its training spellings' byte trigrams (kind 1)."""
-    every, train = set(), Counter()
-    for text, out in zip(table.column("t").to_pylist(), table.column("held_out").to_pylist()):
-        w = _words(text)
-        every.update(w) if out else train.update(w)
-    words = list(every | train.keys())
-    grams = Counter()
-    for w in train:
-        if w != END:
-            s = b"\x00\x00" + w + b"\x00"
-            grams.update(zip(s, s[1:], s[2:]))
-    n = len(words) + len(grams)
-    return pa.table(
-        {
-            "blk": pa.array([key[0].as_py()] * n, pa.int64()),
-            "kind": pa.array([0] * len(words) + [1] * len(grams), pa.int8()),
-            "h": pa.array(np.concatenate([_hashes(words), np.array([a << 16 | b << 8 | c for a, b, c in grams], dtype=np.int64)])),
-            "c": pa.array([train.get(w, 0) for w in words] + list(grams.values()), pa.int64()),
-        }
-    )
-
-
-class Speller:
-    """Byte part of the automaton: log10 weight of spelling a word, by trigrams that fail to bigrams, unigrams and 1/256."""
-
-    def __init__(self, grams: list[tuple[int, int]]):
-        self.arcs: dict[bytes, float] = {}
-        self.fail: dict[bytes, float] = {}
-        levels: list[Counter] = [Counter(), Counter(), Counter()]
-        for g, c in grams:
-            s = bytes((g >> 16, g >> 8 & 255, g & 255))
-            levels[2][s] += c
-            levels[1][s[1:]] += c
-            levels[0][s[2:]] += c
-        for level in levels:
-            total, kinds = Counter(), Counter()
-            for s, c in level.items():
-                total[s[:-1]] += c
-                kinds[s[:-1]] += 1
-            for ctx in total:
-                self.fail[ctx] = math.log10(DISCOUNT * kinds[ctx] / total[ctx])
-            for s, c in level.items():
-                self.arcs[s] = math.log10((c - DISCOUNT) / total[s[:-1]] + DISCOUNT * kinds[s[:-1]] / total[s[:-1]] * 10 ** self._walk(s[1:]))
-
-    def _walk(self, s: bytes) -> float:
-        if not s:
-            return -math.log10(256)
-        w = 0.0
-        while s not in self.arcs:
-            w += self.fail.get(s[:-1], 0.0)
-            if len(s) == 1:
-                return w - math.log10(256)
-            s = s[1:]
-        return w + self.arcs[s]
-
-    def spell(self, word: bytes) -> float:
-        s, total = b"\x00\x00" + word + b"\x00", 0.0
-        for i in range(2, len(s)):
-            total += self._walk(s[i - 2 : i + 1])
-        return total
+def _count(batches):
+    """(h, c) of the words of training texts."""
+    seen = Counter()
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(_hashes(seen.keys())), pa.array(list(seen.values()), pa.int64())], ["h", "c"])
+
+    for b in batches:
+        for text in b.column(0).to_pylist():
+            seen.update(_words(text))
+            if len(seen) > HELD_WORDS:
+                yield out()
+                seen.clear()
+    if seen:
+        yield out()
+
+
+def _parcel(batches):
+    """(blk, blob): rows of one block as a compressed Arrow stream."""
+    how = pa.ipc.IpcWriteOptions(compression="zstd")
+    for b in batches:
+        for i in range(0, b.num_rows, 2048):
+            s = b.slice(i, 2048)
+            blk = s.column(0).to_numpy()
+            order = np.argsort(blk, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(blk[order])) + 1):
+                part, sink = s.take(pa.array(at)), pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=how) as w:
+                    w.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([blk[at[0]]]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["blk", "blob"])
+
+
+class Block:
+    """Tokens of a block's texts as arrays, and its distinct words and arcs of context states."""
+
+    def __init__(self, table, contexts: np.ndarray):
+        number = defaultdict(count().__next__)
+        end = number[END]
+        self.doc_ids, self.held, tokens = [], [], []
+        for blob in table.column("blob"):
+            for b in pa.ipc.open_stream(blob.as_buffer()):
+                self.doc_ids += b.column(1).to_pylist()
+                self.held += b.column(3).to_pylist()
+                tokens += [np.fromiter(map(number.__getitem__, _words(t)), dtype=np.int64) for t in b.column(2).to_pylist()]
+        self.sizes = np.array([len(x) for x in tokens])
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
+        self.ids = np.concatenate(tokens)
+        self.train = np.repeat(~np.array(self.held, dtype=bool), self.sizes)
+        self.h = _hashes(number.keys())
+        before = np.concatenate([[end], self.ids[:-1]])
+        before[self.starts] = end
+        state = _find(contexts, self.h)[before]  # -1: the root
+        self.inner = state >= 0
+        self.arcs, self.arc_of = np.unique(state[self.inner] << 32 | self.ids[self.inner], return_inverse=True)
+        self.word_counts = np.bincount(self.ids[self.train], minlength=len(self.h))
+        self.arc_counts = np.bincount(self.arc_of[self.train[self.inner]], minlength=len(self.arcs))
+
+    @property
+    def arc_states(self) -> np.ndarray:
+        return self.arcs >> 32
+
+    @property
+    def arc_words(self) -> np.ndarray:
+        return self.arcs & 0xFFFFFFFF
+
+
+def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Index of each key among sorted ones, or -1."""
+    if not len(sorted_keys):
+        return np.full(len(keys), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == keys, at, -1)
+
+
+def _traverse(block: Block, n: int, v: int, total: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per token: the base's and the automaton's log10 weight. ``total``, ``kinds``: tokens and arcs of each context state."""
+    c = block.word_counts
+    base = np.log10((c + 1) / (n + v + 1))
+    if not n:
+        return base[block.ids], np.zeros(len(block.ids))
+    root = np.where(c > 0, (c - DISCOUNT) / n, DISCOUNT * v / n)
+    fail = np.divide(DISCOUNT * kinds, total, out=np.ones(len(total)), where=total > 0)
+    s, k = block.arc_states, block.arc_counts
+    arc = np.divide(np.maximum(k - DISCOUNT, 0), total[s], out=np.zeros(len(s)), where=total[s] > 0) + fail[s] * root[block.arc_words]
+    weight = np.log10(root)[block.ids]
+    weight[block.inner] = np.log10(arc)[block.arc_of]
+    return base[block.ids], weight
 
 
 def scores(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"), held_out().alias("held_out"))
     chars = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = int(chars // BLOCK_CHARS) + 1
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)))
-    asked = materialize(rows.groupBy("blk").applyInArrow(_ask, "blk long, kind byte, h long, c long"), "asked")
-    vocabulary = materialize(asked.where("kind = 0").groupBy("h").agg(F.sum("c").alias("c")), "vocabulary")
-    total = vocabulary.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    n, v = total["n"] or 0, total["v"]
-    grams = [(r["h"], r["c"]) for r in asked.where("kind = 1").groupBy("h").agg(F.sum("c").alias("c")).collect()]  # at most 256**3
-    shared = spark.sparkContext.broadcast(grams)
-    answers = asked.where("kind = 0").select("blk", "h").join(vocabulary, "h").where("c > 0")
+    deal = F.coalesce(F.xxhash64(F.floor(F.col("doc_id") / NEIGHBOURS)), F.lit(0)) + F.when(F.col("doc_id").isNull(), F.xxhash64("t") % (1 << 40)).otherwise(0)
+    parcels = rows.select(F.pmod(deal, F.lit(blocks)).cast("long").alias("blk"), "doc_id", "t", "held_out").mapInArrow(_parcel, "blk long, blob binary")
+
+    counted = rows.where("not held_out").select("t").mapInArrow(_count, "h long, c long")
+    vocabulary = materialize(counted.groupBy("h").agg(F.sum("c").alias("c")), "vocabulary")
+    size = vocabulary.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    n, v = size["n"] or 0, size["v"]
+    contexts = np.array(sorted(r["h"] for r in vocabulary.where(F.col("c") * CONTEXT_SHARE >= n).collect()), dtype=np.int64)  # at most CONTEXT_SHARE
+
+    def ask(key, table):
+        b = Block(table, contexts)
+        return pa.table(
+            {
+                "blk": pa.array(np.full(len(b.h) + len(b.arcs), key[0].as_py()), pa.int64()),
+                "state": pa.array(np.concatenate([np.full(len(b.h), -1), b.arc_states]), pa.int32()),
+                "h": pa.array(np.concatenate([b.h, b.h[b.arc_words]]), pa.int64()),
+                "own": pa.array(np.concatenate([b.word_counts, b.arc_counts]), pa.int64()),
+            }
+        )
+
+    asked = materialize(parcels.groupBy("blk").applyInArrow(ask, "blk long, state int, h long, own long"), "asked")
+    arcs = materialize(asked.where("state >= 0 and own > 0").groupBy("state", "h").agg(F.sum("own").alias("c")), "arcs")
+    total, kinds = np.zeros(len(contexts)), np.zeros(len(contexts))
+    for r in arcs.groupBy("state").agg(F.sum("c").alias("c"), F.count("*").alias("k")).collect():  # at most CONTEXT_SHARE
+        total[r["state"]], kinds[r["state"]] = r["c"], r["k"]
+    # A count that is all the block's own needs no answer.
+    every = vocabulary.select(F.lit(-1).alias("state"), "h", "c").unionByName(arcs)
+    answers = asked.join(every, ["state", "h"]).where("c > own").select("blk", "state", "h", "c")
 
     def run(key, left, right):
-        speller = Speller(shared.value)
-        h, c = right.column("h").to_numpy(), right.column("c").to_numpy()
-        order = np.argsort(h)
-        h, c = h[order], c[order]
-        miss = math.log10(DISCOUNT * v / n) if n else 0.0
-        known: dict[bytes, tuple[int, float, float]] = {}
-        out = []
-        for doc, text, held in zip(left.column("doc_id").to_pylist(), left.column("t").to_pylist(), left.column("held_out").to_pylist()):
-            words = _words(text)
-            new = list({w for w in words if w not in known})
-            if new:
-                g = _hashes(new)
-                at = np.minimum(np.searchsorted(h, g), max(len(h) - 1, 0))
-                count = np.where(h[at] == g, c[at], 0).tolist() if len(h) else [0] * len(new)
-                for w, k in zip(new, count):
-                    s = speller.spell(b"" if w == END else w)
-                    p = math.log10((k - DISCOUNT) / n + 10 ** (miss + s)) if k else miss + s
-                    known[w] = (k > 0, math.log10((k + 1) / (n + v + 1)), p)
-            got = list(map(known.__getitem__, words))
-            out.append((doc, held, len(words), sum(x[0] for x in got), n, sum(x[1] for x in got), sum(x[2] for x in got)))
-        cols = list(zip(*out))
-        return pa.table(dict(zip(names, map(pa.array, cols, kinds))))
+        b = Block(left, contexts)
+        state, h, c = (right.column(x).to_numpy() for x in ("state", "h", "c"))
+        order = np.argsort(b.h)
+        word = order[_find(b.h[order], h)]
+        b.word_counts[word[state < 0]] = c[state < 0]
+        inner = state >= 0
+        b.arc_counts[_find(b.arcs, state[inner].astype(np.int64) << 32 | word[inner])] = c[inner]
+        base, weight = _traverse(b, n, v, total, kinds)
+        per_text = lambda x: np.add.reduceat(x, b.starts)
+        known = (b.word_counts > 0).astype(np.int64)[b.ids]
+        cols = (b.doc_ids, b.held, b.sizes, per_text(known), np.full(len(b.sizes), n), per_text(base), per_text(weight))
+        return pa.table(dict(zip(names, map(pa.array, cols, kinds_of))))
 
     names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
-    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+    kinds_of = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    pairs = rows.groupBy("blk").cogroup(answers.groupBy("blk"))
-    return pairs.applyInArrow(run, schema)
+    return parcels.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(run, schema)

@@ -72,22 +72,43 @@ def test_bpe(docs, texts):
         assert (bpe._exact(bpe._symbols(bpe.token[a]) + bpe._symbols(bpe.token[b])) == [a, b]) == k
 
 
-def test_lm_base(docs, texts, spark):
-    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
-    c = Counter(w for t in train for w in lm._words(t))
-    n, v = sum(c.values()), len(c)
-    for r in lm.scores(docs).collect():
+@pytest.mark.parametrize("share, block", [(1000, 10**9), (20, 10**9), (20, 4000)])
+def test_lm(docs, texts, spark, monkeypatch, share, block):
+    monkeypatch.setattr(lm, "CONTEXT_SHARE", share)
+    monkeypatch.setattr(lm, "BLOCK_CHARS", block)
+    train = [lm._words(t) for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    c = Counter(w for t in train for w in t)
+    n, v, d = sum(c.values()), len(c), lm.DISCOUNT
+    arcs = Counter(p for t in train for p in zip([lm.END, *t], t) if c[p[0]] * share >= n)
+    total, kinds = Counter(), Counter()
+    for (a, _), k in arcs.items():
+        total[a] += k
+        kinds[a] += 1
+
+    def prob(a, w):
+        root = (c[w] - d) / n if w in c else d * v / n
+        return (max(arcs[a, w] - d, 0) + d * kinds[a] * root) / total[a] if total[a] else root
+
+    for a in (lm.END, *list(total)[:5], b"never seen"):
+        assert math.isclose(sum(prob(a, w) for w in [*c, b"never seen"]), 1, rel_tol=1e-9)
+    rows = lm.scores(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
         w = lm._words(texts[r.doc_id])
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(x in c for x in w), n)
-        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2) and r.score < 0
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
         assert math.isclose(r.base_score, sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
-    assert lm.scores(empty(spark)).count() == 0
+        assert math.isclose(r.score, sum(math.log10(prob(a, x)) for a, x in zip([lm.END, *w], w)), rel_tol=1e-9)
 
 
-def test_speller_sums_to_one():
-    s = lm.Speller([(b"\0\0a"[0] << 16 | 0 << 8 | 97, 3), (0 << 16 | 97 << 8 | 98, 2), (97 << 16 | 98 << 8 | 0, 2)])
-    for ctx in (b"\0\0", b"\0a", b"zz"):
-        assert math.isclose(sum(10 ** s._walk(ctx + bytes((b,))) for b in range(256)), 1, rel_tol=1e-9)
+def test_lm_edges(spark):
+    assert lm.scores(empty(spark)).count() == 0
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (None, None), (2, ""), (2, "")], "doc_id long, text string")
+    got = lm.scores(odd).collect()
+    assert len(got) == 5 and all(math.isfinite(r.score) for r in got)
+    out = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
+    only = lm.scores(spark.createDataFrame([(out, "a b")], "doc_id long, text string")).first()
+    assert (only.train_tokens, only.n_known, only.base_score, only.score) == (0, 0, 0, 0)
 
 
 def test_chat(spark):
