@@ -11,6 +11,7 @@ import json
 import os
 import re
 import unicodedata
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -123,20 +124,29 @@ class SpeculativeBpe:
         return [self.vocab[c] for c in chars if c in self.vocab]
 
     def _exact(self, ids: list[int]) -> list[int]:
-        """Merge the lowest-ranked pair, leftmost first, until no pair is left."""
-        ids = list(ids)
-        while len(ids) > 1:
-            best = min(((self.merge[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merge), default=None)
-            if best is None:
-                break
-            i = best[1]
-            ids[i : i + 2] = [self.merge[ids[i], ids[i + 1]][1]]
-        return ids
+        """Merge the lowest-ranked pair, leftmost first, until no pair is left; a heap keeps long words near-linear."""
+        ids, n = list(ids), len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(self.merge[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merge]
+        heapify(heap)
+        while heap:
+            _, i, x, y = heappop(heap)
+            j = after[i] if ids[i] == x else n
+            if j >= n or ids[j] != y:
+                continue  # one side has merged since
+            ids[i], ids[j] = self.merge[x, y][1], -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+            for at, right in ((before[i], i), (i, k)):
+                if at >= 0 and right < n and (p := (ids[at], ids[right])) in self.merge:
+                    heappush(heap, (self.merge[p][0], at, *p))
+        return [x for x in ids if x >= 0]
 
     def _greedy(self, w: str) -> list[int] | None:
         usable, out, p, n = self.usable, [], 0, len(w)
         while p < n:
-            i = usable.get(w[p:] + self.END)
+            i = usable.get(w[p:] + self.END) if n - p <= self.longest else None
             if i is not None:
                 out.append(i)
                 return out

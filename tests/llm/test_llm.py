@@ -65,6 +65,8 @@ def test_bpe(docs, texts):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(tk.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     bpe = tokens.loaded(tokens.SpeculativeBpe, tokenizer("word_bpe_49k.json"))
+    long = "".join(np.random.default_rng(3).choice(list("etaoinshrdluqzäßé"), 60_000))
+    assert bpe.encode_batch([long])[0] == tk.encode(long, add_special_tokens=False).ids and bpe.exact_words
     pool = list(bpe.usable.values())[:3000:7]
     pairs = [(a, b) for a, b in itertools.product(pool[:60], pool) if not bpe.token[a].endswith("</w>")]
     ok = bpe.compatible(np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]))
