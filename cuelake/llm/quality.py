@@ -94,6 +94,5 @@ def score(docs: DataFrame, trusted_ids: DataFrame, base: DataFrame | None = None
 
 def shape_array(text: Column) -> Column:
     """Symbols of a text: the shapes of its words (letters and digits folded) joined with the next word's shape."""
-    folded = F.regexp_replace(F.regexp_replace(text, "\\b\\p{Lu}{3,}\\b", "U"), "[\\p{L}\\p{N}]+", "a")
-    w = words_of(folded)
+    w = words_of(F.regexp_replace(text, "[\\p{L}\\p{N}]+", "a"))
     return F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, n: F.concat_ws(" ", x, F.coalesce(n, F.lit("</s>"))))
