@@ -14,6 +14,8 @@ import numpy as np
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..shipping import materialize
+
 BUCKETS = 1 << 14
 THRESHOLD = -1.0
 #: Trusted rows that the target multinomial is fitted on, those of smallest id hash; the raw one covers all rows.
@@ -89,7 +91,8 @@ def score(docs: DataFrame, trusted_ids: DataFrame, base: DataFrame | None = None
     f = shape_array(F.col("t"))
     total = F.aggregate(f, F.lit(0.0), lambda a, s: a + F.get(table, F.pmod(F.xxhash64(s), F.lit(BUCKETS)).cast("int")))
     out = base.withColumn("llr", F.when(F.col("n_words") > 0, total / F.greatest(F.size(f), F.lit(1))).otherwise(0.0)).drop("t")
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    # Written, for a filter on kept would be pushed below the projections and repeat the array expressions many times over.
+    return materialize(out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)), "quality")
 
 
 def shape_array(text: Column) -> Column:
