@@ -20,7 +20,6 @@ BUCKETS = 1 << 14
 THRESHOLD = -1.0
 #: Trusted rows that the target multinomial is fitted on, those of smallest id hash; the raw one covers all rows.
 TRUSTED_ROWS = 20_000
-WHITE = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
 
 
@@ -37,15 +36,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
         "doc_id",
         "t",
         words_of(F.col("t")).alias("w"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.length(F.translate("t", WHITE, "")).cast("long").alias("word_chars"),
+        F.regexp_count("t", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         lines.alias("lines"),
     )
     rows = rows.select(
         "doc_id",
         "t",
         F.size("w").cast("long").alias("n_words"),
-        "word_chars",
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("w", lambda x: F.xxhash64(x)).alias("h"),
@@ -72,13 +70,13 @@ def base_columns(docs: DataFrame) -> DataFrame:
 def score(docs: DataFrame, trusted_ids: DataFrame, base: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Base columns plus ``llr`` and ``kept``. ``trusted_ids`` has the doc_id of trusted rows."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    feats = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shape_array(t).alias("f"))
+    feats = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shape_buckets(t).alias("f"))
     ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
     marked = feats.join(F.broadcast(ids), "doc_id", "left")  # at most TRUSTED_ROWS ids
     counts = (
-        marked.select(F.explode("f").alias("s"), "trusted")
-        .groupBy(F.pmod(F.xxhash64("s"), F.lit(BUCKETS)).cast("int").alias("b"))
+        marked.select(F.explode("f").alias("b"), "trusted")
+        .groupBy("b")
         .agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))
         .collect()  # at most BUCKETS rows
     )
@@ -88,14 +86,15 @@ def score(docs: DataFrame, trusted_ids: DataFrame, base: DataFrame | None = None
         weights[r["b"]] = math.log((r["good"] + 1) / n_good) - math.log((r["raw"] + 1) / n_raw)
     table = F.lit(np.array(weights))
     base = base if base is not None else base_columns(docs)
-    f = shape_array(F.col("t"))
-    total = F.aggregate(f, F.lit(0.0), lambda a, s: a + F.get(table, F.pmod(F.xxhash64(s), F.lit(BUCKETS)).cast("int")))
-    out = base.withColumn("llr", F.when(F.col("n_words") > 0, total / F.greatest(F.size(f), F.lit(1))).otherwise(0.0)).drop("t")
+    total = F.aggregate("f", F.lit(0.0), lambda a, b: a + F.get(table, b))
+    # A text has as many symbols as words.
+    out = base.withColumn("f", shape_buckets(F.col("t"))).withColumn("llr", F.coalesce(total / F.nullif("n_words", F.lit(0)), F.lit(0.0))).drop("t", "f")
     # Written, for a filter on kept would be pushed below the projections and repeat the array expressions many times over.
     return materialize(out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)), "quality")
 
 
-def shape_array(text: Column) -> Column:
-    """Symbols of a text: the shapes of its words (letters and digits folded) joined with the next word's shape."""
+def shape_buckets(text: Column) -> Column:
+    """Bucket of each symbol of a text: a word's shape (runs of letters and digits folded) hashed with the next word's shape."""
     w = words_of(F.regexp_replace(text, "[\\p{L}\\p{N}]+", "a"))
-    return F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, n: F.concat_ws(" ", x, F.coalesce(n, F.lit("</s>"))))
+    pair = lambda x, n: F.xxhash64(x, F.coalesce(n, F.lit("</s>")))
+    return F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, n: F.pmod(pair(x, n), F.lit(BUCKETS)).cast("int"))

@@ -18,11 +18,11 @@ from test_llm import D, ODD, _components
 
 def _shapes(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", regex.sub(r"[\p{L}\p{N}]+", "a", text))
-    return [f"{a} {b}" for a, b in zip(w, [*w[1:], "</s>"])]
+    return list(zip(w, [*w[1:], "</s>"]))
 
 
 def _bucket(s):
-    return xxhash.xxh64_intdigest(s.encode(), 42) % quality.BUCKETS
+    return xxhash.xxh64_intdigest(s[1].encode(), xxhash.xxh64_intdigest(s[0].encode(), 42)) % quality.BUCKETS
 
 
 def _quality(docs, trusted):
