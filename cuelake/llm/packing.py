@@ -55,7 +55,7 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 512):
                 s = b.slice(i, 512)
-                n = [len(x) // enc.width + 1 for x in enc.encode_batch(s.column(1).to_pylist())]
+                n = [len(enc.ids(t)) + 1 for t in s.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([s.column(0), pa.array(n, pa.int64()), s.column(2)], ["doc_id", "n_tokens", "h"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))

@@ -1,7 +1,7 @@
-"""Subword encoding with per-worker word caches (operators 1, 4 and 8).
+"""Subword encoding (operators 1, 4 and 8).
 
-A text is cut into pre-tokens; byte-pair merging never crosses a pre-token, so a pre-token's ids can be
-computed once and reused. Texts of Latin characters use a fast pattern; any other text is cut by the
+A text is cut into pre-tokens; byte-pair merging never crosses a pre-token, so operator 8 computes a pre-token's ids
+once and reuses them. Texts of Latin characters take fast paths; any other text goes through the
 tokenizers library itself, so results do not depend on this module's idea of Unicode.
 """
 
@@ -22,7 +22,6 @@ import numpy as np
 CACHE_WORDS = 400_000
 _LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _FAST = re.compile("[^\x00-\x1b\x20-ɏ]")
-_BYTE_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
 _LOWER_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
 
 
@@ -34,7 +33,11 @@ def _byte_alphabet() -> dict[int, str]:
 
 
 class ByteLevelEncoder:
-    """Ids of whole texts as the tokenizers library gives them, as packed little-endian uint16 or uint32."""
+    """Ids of whole texts as the tokenizers library gives them, as packed little-endian uint16 or uint32.
+
+    A vocabulary whose ids ascend in the order of their merges is also a rank table; texts of Latin characters are merged
+    by rank, which needs no cache of words. All other texts and vocabularies go through the library itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -45,28 +48,40 @@ class ByteLevelEncoder:
         self.width = 2 if self.tk.get_vocab_size() <= 65536 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
         self.special = [t.content for t in self.tk.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            self.ranked = _rank_encoder(json.load(f))
 
-    def _pack(self, ids) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+    def ids(self, text: str) -> np.ndarray:
+        if self.ranked and not _FAST.search(text) and not any(s in text for s in self.special):
+            try:
+                return self.ranked.encode_to_numpy(text, disallowed_special=())
+            except ValueError:
+                pass  # a run of white space too long for its pattern matcher
+        return np.array(self.tk.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        cut: list = []
-        for t in texts:
-            if _FAST.search(t) or any(s in t for s in self.special):
-                cut.append(self._pack(self.tk.encode(t, add_special_tokens=False).ids))
-            else:
-                cut.append(_BYTE_WORDS.findall(t))
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {}
-        cache = self.cache
-        missing = list({w for c in cut if type(c) is list for w in c if w not in cache})
-        for i in range(0, len(missing), 4096):
-            part = missing[i : i + 4096]
-            for w, e in zip(part, self.tk.encode_batch_fast(part, add_special_tokens=False)):
-                cache[w] = self._pack(e.ids)
-        get = cache.__getitem__
-        return [c if type(c) is bytes else b"".join(map(get, c)) for c in cut]
+        return [self.ids(t).astype(self.dtype).tobytes() for t in texts]
+
+
+#: Fixed value: the pattern that byte-level pre-tokenization splits by.
+_BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _rank_encoder(spec: dict):
+    """The vocabulary as ranks, or None if it is not plain byte-level merging in the order of its ids."""
+    import tiktoken
+
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not spec.get("normalizer")
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    if model.get("type") != "BPE" or not plain or odd:
+        return None
+    vocab, byte_of = model["vocab"], {c: b for b, c in _byte_alphabet().items()}
+    made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in vocab.items() if all(c in byte_of for c in t)}
+    if any(x >= y for x, y in zip(made, made[1:])) or len(ranks) != len(made) + 256 or any(bytes([b]) not in ranks for b in range(256)):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=_BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class SpeculativeBpe:

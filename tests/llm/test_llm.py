@@ -57,6 +57,15 @@ def test_sst(spark, docs, texts, tmp_path):
         assert len(r.blocks) > 2 and all(r.get(sst.key_of(i)) == bytes(200) for i in range(-5000, 5000, 22)) and r.get(sst.key_of(1)) is None
 
 
+def test_byte_level_encoder():
+    tk, enc = Tokenizer.from_file(tokenizer("byte_bpe_50k.json")), tokens.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
+    assert enc.ranked
+    rng, latin = np.random.default_rng(5), [chr(c) for c in range(0x250)]
+    odd = ["".join(rng.choice(latin, 30)) for _ in range(2000)] + [" " * 300_000 + "a", " \n" * 200_000, "a" * 200_000, "aé" * 50_000, "x <|endoftext|> y", "你好 it's"]
+    for t in odd:
+        assert enc.ids(t).tolist() == tk.encode(t, add_special_tokens=False).ids
+
+
 def test_bpe(docs, texts):
     tk = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
     for r in bpe_ops.encode_digests(docs, tokenizer("word_bpe_49k.json")).collect():
