@@ -42,3 +42,15 @@ def join_text(a: Column, b: Column) -> Column:
     x, y = strip(a), strip(b)
     gap = F.when(x.rlike("[A-Za-z0-9]$") & y.rlike("^[A-Za-z0-9]"), F.lit(" ")).otherwise(F.lit(""))
     return F.when(x == "", y).when(y == "", x).otherwise(F.concat(x, gap, y))
+
+
+#: Fixed value: a phrase of 2 to 20 characters, a separator and the phrase again, up to a punctuation mark.
+REPEAT = "(?U)(?<![\\x{4e00}-\\x{9fff}A-Za-z0-9])([\\x{4e00}-\\x{9fff}A-Za-z0-9]{2,20})(?:[，,、\\s]+)\\1([！？!?]?)(?=($|[，,。！？!?；;]))"
+
+
+def collapse_repeats(c: Column) -> Column:
+    """White space flattened, immediate repeats of a phrase dropped until none is left; each pass takes three characters or more."""
+    flat = strip(F.regexp_replace(F.coalesce(c, F.lit("")), "(?U)\\s+", " "))
+    passes = F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.length(flat) / 3)))
+    again = F.aggregate(passes, flat, lambda t, _: F.when(t.rlike(REPEAT), F.regexp_replace(t, REPEAT, "$1$2")).otherwise(t))
+    return F.when(flat.rlike(REPEAT), again).otherwise(flat)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import segment, track
+from ..operators import segment, timing, track
 from ..sources import tables
 
 _WORDS = r"""w0 AS (SELECT conv_id AS track_id, turn, unnest(string_split_regex(text, '\s+')) AS word, generate_subscripts(string_split_regex(text, '\s+'), 1) AS i FROM conversations),
@@ -50,6 +50,25 @@ def _word_gaps(w):
     return w.select("track_id", "pos", (F.lead("start_ms").over(track.by_track()) - F.col("end_ms")).alias("gap_ms"))
 
 
+def _anchored(c):
+    pos = F.col("pos")
+    return c.withColumn("has_anchor", pos % 4 == 2).withColumn("anchor_start_ratio", (pos % 30) / 100.0).withColumn("anchor_end_ratio", 1 - (pos % 20) / 100.0)
+
+
+def _policies(c):
+    order = F.when(F.col("slot") == "start", 0).when(F.col("slot") == "mid", 1).otherwise(2)
+    frames = track.frame_targets(c).where((F.col("cue_id") + order) % 5 != 0).select("track_id", "cue_id", "slot")
+    parts = [timing.image_policy(c, frames, p).withColumn("policy", F.lit(p)) for p in ("none", "mid", "three", "auto")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def _responses(c):
+    items = track.serial_windows(c, 6, 2).join(c.select("track_id", "pos", "cue_id", "text"), ["track_id", "pos"])
+    once = items.where("pos % 5 != 0").select("track_id", "win", "cue_id", F.col("pos").alias("item_pos"), F.col("text").alias("revised_zh"))
+    again = items.where("pos % 3 = 0").select("track_id", "win", "cue_id", (F.col("pos") + 1000).alias("item_pos"), F.concat(F.lit("again "), "text").alias("revised_zh"))
+    return timing.last_responses(items, once.unionByName(again))
+
+
 _QUERIES = {
     "words_from_text": (tables.words, f"WITH {_WORDS} SELECT track_id, pos, word, start_ms, start_ms + dur AS end_ms FROM words"),
     "cues_from_words": (tables.cues, f"WITH {_WORDS} SELECT * FROM cues"),
@@ -71,6 +90,12 @@ _QUERIES = {
     "resume_anti": (_cue(lambda c: c.join(_results(c).where("revised_zh != ''"), ["track_id", "cue_id"], "left_anti").select("track_id", "cue_id")), f"WITH {_WORDS}, {_RESULTS} SELECT track_id, cue_id FROM cues c WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.track_id = c.track_id AND r.cue_id = c.cue_id AND revised_zh != '')"),
     "srt_render": (_cue(tables.render_srt), f"WITH {_WORDS} SELECT track_id, string_agg((pos + 1) || chr(10) || {_TS.format('start_ms')} || ' --> ' || {_TS.format('end_ms')} || chr(10) || text || chr(10), chr(10) ORDER BY pos) AS content FROM cues GROUP BY track_id"),
     "srt_roundtrip": (_cue(lambda c: tables.parse_srt(tables.render_srt(c))), f"WITH {_WORDS} SELECT track_id, pos, cue_id, start_ms, end_ms, text FROM cues"),
+    "anchor_spans": (_cue(lambda c: timing.anchor_spans(_anchored(c), 900)), f"WITH {_WORDS}, a AS (SELECT *, pos % 4 = 2 AND end_ms - start_ms > 1 AS anchored, (pos % 30) / 100.0::DOUBLE AS r0, 1 - (pos % 20) / 100.0::DOUBLE AS r1, end_ms - start_ms AS dur FROM cues), b AS (SELECT *, greatest(start_ms, least(end_ms - 1, start_ms + CAST(round_even(dur * least(r0, r1), 0) AS BIGINT))) AS s FROM a), c AS (SELECT *, greatest(s + 1, least(end_ms, start_ms + CAST(round_even(dur * greatest(r0, r1), 0) AS BIGINT))) AS e FROM b), d AS (SELECT *, greatest(0, 900 - (e - s)) AS need FROM c), g AS (SELECT *, least(s - start_ms, need // 2) AS gl FROM d), h AS (SELECT *, least(end_ms - e, need - gl) AS gr FROM g), k AS (SELECT *, gl + least(s - start_ms - gl, need - gl - gr) AS gl2 FROM h) SELECT track_id, cue_id, CASE WHEN anchored THEN s - gl2 ELSE start_ms END AS start_ms, CASE WHEN anchored THEN e + gr ELSE end_ms END AS end_ms, anchored FROM k"),
+    "frame_mode": (_cue(lambda c: timing.frame_mode(c, "Adaptive ", 1.5)), f"WITH {_WORDS} SELECT track_id, cue_id, CASE WHEN end_ms - start_ms <= 1500 THEN 'mid' ELSE 'three' END AS mode FROM cues"),
+    "image_policy": (_cue(_policies), f"WITH {_WORDS}, h AS (SELECT track_id, cue_id, cue_id % 5 != 0 AS a, (cue_id + 1) % 5 != 0 AS b, (cue_id + 2) % 5 != 0 AS c FROM cues) SELECT track_id, cue_id, policy, CASE WHEN policy = 'mid' AND b THEN 'mid' WHEN policy = 'three' AND a AND b AND c THEN 'start,mid,end' WHEN policy = 'auto' THEN concat_ws(',', CASE WHEN a THEN 'start' END, CASE WHEN b THEN 'mid' END, CASE WHEN c THEN 'end' END) ELSE '' END AS images, CASE WHEN policy = 'mid' AND NOT b THEN 'missing_mid' WHEN policy = 'three' AND NOT (a AND b AND c) THEN 'missing_three' END AS reason FROM h CROSS JOIN (VALUES ('none'), ('mid'), ('three'), ('auto')) p(policy)"),
+    "segment_limits": (_cue(timing.segment_limits), f"WITH {_WORDS}, s AS (SELECT *, (end_ms - start_ms) / 1000.0::DOUBLE AS sec FROM cues) SELECT track_id, cue_id, sec <= 0 OR sec < 5.0::DOUBLE / 6 - 0.001 OR length(text) > 42 OR length(text) / greatest(sec, 1e-9) > 20.001::DOUBLE AS needs_fix, length(text) <= 42 AND NOT regexp_matches(text, '\n|  |[\u2013\u2014]') AS plain_text FROM s"),
+    "last_responses": (_cue(_responses), f"WITH {_WORDS}, i AS (SELECT track_id, pos, cue_id, text, unnest(range(greatest(0, CAST(floor((pos - 6) / 4.0) AS BIGINT) + 1), pos // 4 + 1)) AS win FROM cues) SELECT track_id, win, cue_id, CASE WHEN pos % 3 = 0 THEN 'again ' || text WHEN pos % 5 != 0 THEN text END AS revised_zh, CASE WHEN pos % 3 = 0 OR pos % 5 != 0 THEN 'ok' ELSE 'fail' END AS status FROM i"),
+    "collapse_repeats": (_cue(lambda c: c.select("track_id", "pos", tx.collapse_repeats(F.col("text")).alias("collapsed"))), None),
     "dp_segments": (lambda s, d: segment.dp_segments(tables.words(s, d)), None),
 }
 
