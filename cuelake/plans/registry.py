@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import segment, timing, track
+from ..operators import resegment, segment, timing, track
 from ..sources import tables
 
 _WORDS = r"""w0 AS (SELECT conv_id AS track_id, turn, unnest(string_split_regex(text, '\s+')) AS word, generate_subscripts(string_split_regex(text, '\s+'), 1) AS i FROM conversations),
@@ -96,6 +96,7 @@ _QUERIES = {
     "segment_limits": (_cue(timing.segment_limits), f"WITH {_WORDS}, s AS (SELECT *, (end_ms - start_ms) / 1000.0::DOUBLE AS sec FROM cues) SELECT track_id, cue_id, sec <= 0 OR sec < 5.0::DOUBLE / 6 - 0.001 OR length(text) > 42 OR length(text) / greatest(sec, 1e-9) > 20.001::DOUBLE AS needs_fix, length(text) <= 42 AND NOT regexp_matches(text, '\n|  |[\u2013\u2014]') AS plain_text FROM s"),
     "last_responses": (_cue(_responses), f"WITH {_WORDS}, i AS (SELECT track_id, pos, cue_id, text, unnest(range(greatest(0, CAST(floor((pos - 6) / 4.0) AS BIGINT) + 1), pos // 4 + 1)) AS win FROM cues) SELECT track_id, win, cue_id, CASE WHEN pos % 3 = 0 THEN 'again ' || text WHEN pos % 5 != 0 THEN text END AS revised_zh, CASE WHEN pos % 3 = 0 OR pos % 5 != 0 THEN 'ok' ELSE 'fail' END AS status FROM i"),
     "collapse_repeats": (_cue(lambda c: c.select("track_id", "pos", tx.collapse_repeats(F.col("text")).alias("collapsed"))), None),
+    "resegment": (_cue(resegment.resegment), None),
     "dp_segments": (lambda s, d: segment.dp_segments(tables.words(s, d)), None),
 }
 
