@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as tx
+from ..functions import replies, text as tx
 from ..operators import resegment, segment, timing, track
 from ..sources import tables
 
@@ -69,6 +69,23 @@ def _responses(c):
     return timing.last_responses(items, once.unionByName(again))
 
 
+def _event_replies(s, d):
+    n = F.col("event_id") % 3
+    said = F.when(n == 0, F.col("props")).when(n == 1, F.concat(F.lit("Sure: "), "props", F.lit(" done"))).otherwise("nothing")
+    return s.read.parquet(f"{d}/events.parquet").select(F.col("event_id").alias("id"), "props", said.alias("payload"))
+
+
+def _object_field(s, d):
+    found = F.try_variant_get(F.try_parse_json(replies.object_text(F.col("payload"))), "$.k", "long")
+    return _event_replies(s, d).select("id", found.alias("k"))
+
+
+def _keyed_items(s, d):
+    said = F.concat(F.lit("```json\n{\"cue_"), F.col("id").cast("string"), F.lit("\": \""), F.md5(F.col("props").cast("binary")), F.lit("\"}\n```"))
+    got = replies.reply_items(_event_replies(s, d).select("id", said.alias("payload")))
+    return got.select("id", F.inline("items")).select("id", "cue_id", "revised_zh", "confidence")
+
+
 _QUERIES = {
     "words_from_text": (tables.words, f"WITH {_WORDS} SELECT track_id, pos, word, start_ms, start_ms + dur AS end_ms FROM words"),
     "cues_from_words": (tables.cues, f"WITH {_WORDS} SELECT * FROM cues"),
@@ -96,6 +113,8 @@ _QUERIES = {
     "segment_limits": (_cue(timing.segment_limits), f"WITH {_WORDS}, s AS (SELECT *, (end_ms - start_ms) / 1000.0::DOUBLE AS sec FROM cues) SELECT track_id, cue_id, sec <= 0 OR sec < 5.0::DOUBLE / 6 - 0.001 OR length(text) > 42 OR length(text) / greatest(sec, 1e-9) > 20.001::DOUBLE AS needs_fix, length(text) <= 42 AND NOT regexp_matches(text, '\n|  |[\u2013\u2014]') AS plain_text FROM s"),
     "last_responses": (_cue(_responses), f"WITH {_WORDS}, i AS (SELECT track_id, pos, cue_id, text, unnest(range(greatest(0, CAST(floor((pos - 6) / 4.0) AS BIGINT) + 1), pos // 4 + 1)) AS win FROM cues) SELECT track_id, win, cue_id, CASE WHEN pos % 3 = 0 THEN 'again ' || text WHEN pos % 5 != 0 THEN text END AS revised_zh, CASE WHEN pos % 3 = 0 OR pos % 5 != 0 THEN 'ok' ELSE 'fail' END AS status FROM i"),
     "collapse_repeats": (_cue(lambda c: c.select("track_id", "pos", tx.collapse_repeats(F.col("text")).alias("collapsed"))), None),
+    "json_object_lenient": (_object_field, "SELECT event_id AS id, CASE WHEN event_id % 3 < 2 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events"),
+    "normalize_items": (_keyed_items, "SELECT event_id AS id, CAST(event_id AS VARCHAR) AS cue_id, md5(props) AS revised_zh, 0.5::DOUBLE AS confidence FROM events"),
     "resegment": (_cue(resegment.resegment), None),
     "dp_segments": (lambda s, d: segment.dp_segments(tables.words(s, d)), None),
 }
