@@ -11,16 +11,16 @@ def ratio(value: Column, default: float) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(F.isnan(x) | (F.abs(x) == float("inf")), default).otherwise(F.coalesce(x, F.lit(default)))))
 
 
-def anchor_spans(rows: DataFrame, min_ms: int = 0, use: bool = True) -> DataFrame:
+def anchor_spans(rows: DataFrame, min_ms: int = 0, use: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """track_id, cue_id, start_ms, end_ms, anchored of cues with ``has_anchor``, ``anchor_start_ratio`` and ``anchor_end_ratio``.
 
     A span shorter than ``min_ms`` takes half of what it lacks from its left, the rest from its right, and what the right
-    side of the cue cannot give from the left again. Cues of up to 1 ms and cues without anchor keep their times.
+    side of the cue cannot give from the left again. Cues of up to 1 ms and cues without anchor keep their times. Columns in ``keep`` stay.
     """
     lo, hi = F.col("start_ms"), F.col("end_ms")
     a, b = ratio(F.col("anchor_start_ratio"), 0.0), ratio(F.col("anchor_end_ratio"), 1.0)
     at = lambda r: lo + F.rint((hi - lo) * r).cast("long")
-    rows = rows.select("track_id", "cue_id", lo, hi, (F.lit(use) & F.coalesce("has_anchor", F.lit(False)) & (hi - lo > 1)).alias("anchored"), at(F.least(a, b)).alias("s"), at(F.greatest(a, b)).alias("e"))
+    rows = rows.select("track_id", "cue_id", *keep, lo, hi, (F.lit(use) & F.coalesce("has_anchor", F.lit(False)) & (hi - lo > 1)).alias("anchored"), at(F.least(a, b)).alias("s"), at(F.greatest(a, b)).alias("e"))
     rows = rows.withColumn("s", F.greatest(lo, F.least(F.col("s"), hi - 1)))
     rows = rows.withColumn("e", F.greatest(F.col("s") + 1, F.least(F.col("e"), hi)))
     lack = F.greatest(F.lit(0), F.lit(min_ms) - (F.col("e") - F.col("s")))
@@ -29,7 +29,7 @@ def anchor_spans(rows: DataFrame, min_ms: int = 0, use: bool = True) -> DataFram
     rows = rows.withColumn("right", right)
     left = F.least(F.col("s") - lo, F.col("lack") - F.col("right"))
     pick = lambda own, anchored: F.when(F.col("anchored"), anchored).otherwise(own)
-    return rows.select("track_id", "cue_id", pick(lo, F.col("s") - left).alias("start_ms"), pick(hi, F.col("e") + F.col("right")).alias("end_ms"), "anchored")
+    return rows.select("track_id", "cue_id", *keep, pick(lo, F.col("s") - left).alias("start_ms"), pick(hi, F.col("e") + F.col("right")).alias("end_ms"), "anchored")
 
 
 def frame_mode(cues: DataFrame, mode: str, mid_up_to_sec: float) -> DataFrame:

@@ -65,8 +65,8 @@ def mock_results(cues: DataFrame) -> DataFrame:
 
 
 def merge_left(cues: DataFrame, results: DataFrame, min_confidence: float) -> DataFrame:
-    """Cues with their revision; a missing one keeps the source text, low confidence is marked by a star."""
+    """Cues with their revision; a missing or empty one keeps the source text, low confidence marks a revision by a star."""
     j = cues.join(results, ["track_id", "cue_id"], "left")
-    text = F.coalesce("revised_zh", "text")
-    marked = F.when(F.col("confidence") < min_confidence, F.concat(text, F.lit("*"))).otherwise(text)
+    revised = F.when(F.trim("revised_zh") != "", F.concat("revised_zh", F.when(F.col("confidence") < min_confidence, "*").otherwise("")))
+    marked = F.coalesce(revised, "text")
     return j.select("track_id", "cue_id", marked.alias("text"), F.col("revised_zh").isNull().alias("missing"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import replies, text as tx
-from ..operators import resegment, segment, timing, track
+from ..operators import resegment, results, segment, timing, track
 from ..sources import tables
 
 _WORDS = r"""w0 AS (SELECT conv_id AS track_id, turn, unnest(string_split_regex(text, '\s+')) AS word, generate_subscripts(string_split_regex(text, '\s+'), 1) AS i FROM conversations),
@@ -62,6 +62,11 @@ def _policies(c):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+def _merged(c):
+    found = _results(c).join(_anchored(c).select("track_id", "cue_id", (F.col("pos") % 3 == 1).alias("join_with_prev"), "has_anchor", "anchor_start_ratio", "anchor_end_ratio"), ["track_id", "cue_id"])
+    return results.merge_results(c, found, results.Joins(min_confidence=0.5))
+
+
 def _responses(c):
     items = track.serial_windows(c, 6, 2).join(c.select("track_id", "pos", "cue_id", "text"), ["track_id", "pos"])
     once = items.where("pos % 5 != 0").select("track_id", "win", "cue_id", F.col("pos").alias("item_pos"), F.col("text").alias("revised_zh"))
@@ -103,7 +108,7 @@ _QUERIES = {
     "frame_sessions": (_cue(_frame_sessions), None),
     "person_area_filter": (lambda s, d: track.person_area(_detections(s, d), 854 * 480, 0.35), f"WITH {_DETECTIONS} SELECT frame_id, count(*) FILTER (person) AS person_count, count(*) FILTER (NOT person) AS non_person_count, round(coalesce(sum(area) FILTER (person), 0) / 409920.0, 4) AS ratio, coalesce(sum(area) FILTER (person), 0) / 409920.0 > 0.35 AS discard FROM d GROUP BY frame_id"),
     "mock_run": (_cue(track.mock_results), f"WITH {_WORDS} SELECT track_id, cue_id, '[MOCK] ' || text AS revised_zh, 1.0::DOUBLE AS confidence, false AS join_with_prev FROM cues"),
-    "result_left_join": (_cue(lambda c: track.merge_left(c, _results(c), 0.5)), f"WITH {_WORDS}, {_RESULTS} SELECT c.track_id, c.cue_id, coalesce(revised_zh, text) || CASE WHEN confidence < 0.5 THEN '*' ELSE '' END AS text, revised_zh IS NULL AS missing FROM cues c LEFT JOIN r USING (track_id, cue_id)"),
+    "result_left_join": (_cue(lambda c: track.merge_left(c, _results(c), 0.5)), f"WITH {_WORDS}, {_RESULTS} SELECT c.track_id, c.cue_id, CASE WHEN trim(revised_zh) != '' THEN revised_zh || CASE WHEN confidence < 0.5 THEN '*' ELSE '' END ELSE text END AS text, revised_zh IS NULL AS missing FROM cues c LEFT JOIN r USING (track_id, cue_id)"),
     "resume_anti": (_cue(lambda c: c.join(_results(c).where("revised_zh != ''"), ["track_id", "cue_id"], "left_anti").select("track_id", "cue_id")), f"WITH {_WORDS}, {_RESULTS} SELECT track_id, cue_id FROM cues c WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.track_id = c.track_id AND r.cue_id = c.cue_id AND revised_zh != '')"),
     "srt_render": (_cue(tables.render_srt), f"WITH {_WORDS} SELECT track_id, string_agg((pos + 1) || chr(10) || {_TS.format('start_ms')} || ' --> ' || {_TS.format('end_ms')} || chr(10) || text || chr(10), chr(10) ORDER BY pos) AS content FROM cues GROUP BY track_id"),
     "srt_roundtrip": (_cue(lambda c: tables.parse_srt(tables.render_srt(c))), f"WITH {_WORDS} SELECT track_id, pos, cue_id, start_ms, end_ms, text FROM cues"),
@@ -115,6 +120,7 @@ _QUERIES = {
     "collapse_repeats": (_cue(lambda c: c.select("track_id", "pos", tx.collapse_repeats(F.col("text")).alias("collapsed"))), None),
     "json_object_lenient": (_object_field, "SELECT event_id AS id, CASE WHEN event_id % 3 < 2 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events"),
     "normalize_items": (_keyed_items, "SELECT event_id AS id, CAST(event_id AS VARCHAR) AS cue_id, md5(props) AS revised_zh, 0.5::DOUBLE AS confidence FROM events"),
+    "merge_results": (_cue(_merged), None),
     "resegment": (_cue(resegment.resegment), None),
     "dp_segments": (lambda s, d: segment.dp_segments(tables.words(s, d)), None),
 }
