@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def ratio(value: Column, default: float) -> Column:
@@ -77,3 +77,23 @@ def last_responses(items: DataFrame, responses: DataFrame) -> DataFrame:
     last = responses.groupBy("track_id", "win", "cue_id").agg(F.max_by("revised_zh", "item_pos").alias("revised_zh"))
     out = items.select("track_id", "win", "cue_id").join(last.withColumn("hit", F.lit(True)), ["track_id", "win", "cue_id"], "left")
     return out.select("track_id", "win", "cue_id", "revised_zh", F.when(F.col("hit"), "ok").otherwise("fail").alias("status"))
+
+
+def validation_report(segments: DataFrame, min_sec: float = 5 / 6, max_sec: float = 7.0, max_chars: int = 42, max_cps: float = 20.0) -> DataFrame:
+    """track_id, pos, rule, issue: one row per broken rule, rules numbered in the order they are reported."""
+    text, sec = F.coalesce("text", F.lit("")), (F.col("end_ms") - F.col("start_ms")) / 1000
+    n = F.length(text)
+    cps = F.when(sec > 0, n / sec).otherwise(float("inf"))
+    before = F.lag("end_ms").over(Window.partitionBy("track_id").orderBy("pos"))
+    rules = [
+        ((sec < min_sec - 1e-3) | (sec > max_sec + 1e-3), F.format_string(f"duration %.3fs out of [{min_sec:.3f}, {max_sec:.3f}]", sec)),
+        (text.contains("\n"), F.lit("contains newline (must be single-line)")),
+        (n > max_chars, F.format_string(f"chars %d > {max_chars}", n)),
+        (cps > max_cps + 1e-3, F.when(sec > 0, F.format_string(f"cps %.2f > {max_cps:.2f}", cps)).otherwise(f"cps inf > {max_cps:.2f}")),
+        (text.contains("  "), F.lit("contains double spaces")),
+        (text.rlike("[–—]"), F.lit("contains en/em dash")),
+        (F.col("start_ms") < before, F.lit("overlaps previous cue")),
+    ]
+    found = [F.when(bad, F.struct(F.lit(i).alias("rule"), said.alias("issue"))) for i, (bad, said) in enumerate(rules, 1)]
+    rows = segments.select("track_id", "pos", F.filter(F.array(*found), lambda x: x.isNotNull()).alias("found"))
+    return rows.select("track_id", "pos", F.inline("found"))

@@ -105,7 +105,7 @@ _QUERIES = {
     "word_gaps": (lambda s, d: _word_gaps(tables.words(s, d)), f"WITH {_WORDS} SELECT track_id, pos, lead(start_ms) OVER (PARTITION BY track_id ORDER BY pos) - (start_ms + dur) AS gap_ms FROM words"),
     "word_clamp": (lambda s, d: track.word_clamp(tables.words(s, d), 500), f"WITH {_WORDS}, x AS (SELECT *, lead(start_ms) OVER (PARTITION BY track_id ORDER BY pos) AS nxt FROM words), y AS (SELECT *, CASE WHEN nxt IS NULL THEN least(start_ms + dur, start_ms + 500) ELSE least(start_ms + dur, start_ms + 500, nxt - 1) END AS c FROM x) SELECT track_id, pos, start_ms, CASE WHEN c > start_ms THEN c ELSE start_ms + dur END AS end_ms FROM y"),
     "frame_targets": (_cue(track.frame_targets), f"WITH {_WORDS}, p AS (SELECT *, CASE WHEN end_ms - start_ms < 400 THEN 30 ELSE 100 END AS pad FROM cues), q AS (SELECT *, least(end_ms, start_ms + pad) AS t0, greatest(start_ms, end_ms - pad) AS t2, (start_ms + end_ms) / 2 AS m FROM p) SELECT track_id, cue_id, slot, CAST(CASE WHEN t0 > t2 OR slot = 'mid' THEN m WHEN slot = 'start' THEN t0 ELSE t2 END AS DOUBLE) AS t_ms FROM q CROSS JOIN (VALUES ('start'), ('mid'), ('end')) s(slot)"),
-    "frame_sessions": (_cue(_frame_sessions), None),
+    "frame_sessions": (_cue(_frame_sessions), f"WITH {_WORDS}, p AS (SELECT *, CASE WHEN end_ms - start_ms < 400 THEN 30 ELSE 100 END AS pad FROM cues), q AS (SELECT *, least(end_ms, start_ms + pad) AS t0, greatest(start_ms, end_ms - pad) AS t2, (start_ms + end_ms) / 2 AS m FROM p), t AS (SELECT track_id, CAST(CASE WHEN t0 > t2 OR slot = 'mid' THEN m WHEN slot = 'start' THEN t0 ELSE t2 END AS DOUBLE) / 1000 AS t_sec FROM q CROSS JOIN (VALUES ('start'), ('mid'), ('end')) s(slot)), x AS (SELECT *, CASE WHEN t_sec - lag(t_sec) OVER (PARTITION BY track_id ORDER BY t_sec) > 1.0::DOUBLE THEN 1 ELSE 0 END AS new FROM t), y AS (SELECT *, CAST(sum(new) OVER (PARTITION BY track_id ORDER BY t_sec RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session FROM x) SELECT track_id, session, min(t_sec) AS first_sec, max(t_sec) AS last_sec, count(*) AS n FROM y GROUP BY track_id, session"),
     "person_area_filter": (lambda s, d: track.person_area(_detections(s, d), 854 * 480, 0.35), f"WITH {_DETECTIONS} SELECT frame_id, count(*) FILTER (person) AS person_count, count(*) FILTER (NOT person) AS non_person_count, round(coalesce(sum(area) FILTER (person), 0) / 409920.0, 4) AS ratio, coalesce(sum(area) FILTER (person), 0) / 409920.0 > 0.35 AS discard FROM d GROUP BY frame_id"),
     "mock_run": (_cue(track.mock_results), f"WITH {_WORDS} SELECT track_id, cue_id, '[MOCK] ' || text AS revised_zh, 1.0::DOUBLE AS confidence, false AS join_with_prev FROM cues"),
     "result_left_join": (_cue(lambda c: track.merge_left(c, _results(c), 0.5)), f"WITH {_WORDS}, {_RESULTS} SELECT c.track_id, c.cue_id, CASE WHEN trim(revised_zh) != '' THEN revised_zh || CASE WHEN confidence < 0.5 THEN '*' ELSE '' END ELSE text END AS text, revised_zh IS NULL AS missing FROM cues c LEFT JOIN r USING (track_id, cue_id)"),
@@ -121,6 +121,7 @@ _QUERIES = {
     "json_object_lenient": (_object_field, "SELECT event_id AS id, CASE WHEN event_id % 3 < 2 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events"),
     "normalize_items": (_keyed_items, "SELECT event_id AS id, CAST(event_id AS VARCHAR) AS cue_id, md5(props) AS revised_zh, 0.5::DOUBLE AS confidence FROM events"),
     "merge_results": (_cue(_merged), None),
+    "validation_report": (_cue(lambda c: timing.validation_report(c, max_chars=30, max_cps=14.0)), f"WITH {_WORDS}, s AS (SELECT *, (end_ms - start_ms) / 1000.0::DOUBLE AS sec, length(text) AS n, lag(end_ms) OVER (PARTITION BY track_id ORDER BY pos) AS before FROM cues), i AS (SELECT track_id, pos, 1 AS rule, printf('duration %.3fs out of [0.833, 7.000]', sec) AS issue FROM s WHERE sec < 5.0::DOUBLE / 6 - 0.001 OR sec > 7.001 UNION ALL SELECT track_id, pos, 2, 'contains newline (must be single-line)' FROM s WHERE contains(text, chr(10)) UNION ALL SELECT track_id, pos, 3, printf('chars %d > 30', n) FROM s WHERE n > 30 UNION ALL SELECT track_id, pos, 4, printf('cps %.2f > 14.00', n / sec) FROM s WHERE n / sec > 14.001::DOUBLE UNION ALL SELECT track_id, pos, 5, 'contains double spaces' FROM s WHERE contains(text, '  ') UNION ALL SELECT track_id, pos, 6, 'contains en/em dash' FROM s WHERE regexp_matches(text, '[\u2013\u2014]') UNION ALL SELECT track_id, pos, 7, 'overlaps previous cue' FROM s WHERE start_ms < before) SELECT * FROM i"),
     "resegment": (_cue(resegment.resegment), None),
     "dp_segments": (lambda s, d: segment.dp_segments(tables.words(s, d)), None),
 }

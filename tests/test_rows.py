@@ -44,3 +44,11 @@ def test_image_policy_rand1(spark):
     frames = spark.createDataFrame([(1, 1, "end"), (1, 1, "start")], "track_id long, cue_id long, slot string")
     got = {r.cue_id: (r.images, r.reason) for r in timing.image_policy(cues, frames, "rand1").collect()}
     assert got[1][0] in ("start", "end") and got[2] == ("", None)
+
+
+def test_validation_report(spark):
+    rows = [(1, 0, 0, 1000, "fine"), (1, 1, 900, 900, "a\n b  c – d"), (1, 2, 900, 9000, "x" * 43), (2, 0, 0, 1000, None), (2, 1, 1000, 2000, "y" * 21)]
+    df = spark.createDataFrame(rows, "track_id long, pos long, start_ms long, end_ms long, text string")
+    got = [tuple(r) for r in timing.validation_report(df).orderBy("track_id", "pos", "rule").collect()]
+    assert [g[:3] for g in got] == [(1, 1, 1), (1, 1, 2), (1, 1, 4), (1, 1, 5), (1, 1, 6), (1, 1, 7), (1, 2, 1), (1, 2, 3), (2, 1, 4)]
+    assert got[0][3] == "duration 0.000s out of [0.833, 7.000]" and got[-1][3] == "cps 21.00 > 20.00" and got[2][3] == "cps inf > 20.00"
