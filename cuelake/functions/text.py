@@ -14,6 +14,20 @@ def seconds_to_ts(sec: Column) -> Column:
     return ms_to_ts(F.greatest(F.lit(0).cast("long"), F.bround(sec * 1000).cast("long")))
 
 
+def two_places(x: Column) -> Column:
+    """A double to two decimals, rounded by its exact binary value and ties to even, which ``%.2f`` in the JVM does not do.
+
+    The error of ``x * 100`` is computed exactly by splitting x in halves; it decides where the product looks like a tie.
+    """
+    big = x * 134217729.0
+    high = big - (big - x)
+    p = x * 100.0
+    error = (high * 100.0 - p) + (x - high) * 100.0
+    floor = F.floor(p).cast("double")
+    whole = F.when((p - floor == 0.5) & (error != 0), floor + F.when(error > 0, 1.0).otherwise(0.0)).otherwise(F.rint(p))
+    return F.format_string("%.2f", whole / 100.0)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, "(?U)^\\s+|\\s+$", "")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.text import two_places
+
 
 def ratio(value: Column, default: float) -> Column:
     """A number or numeric string within 0 and 1; anything else, infinities and NaN give ``default``."""
@@ -89,7 +91,7 @@ def validation_report(segments: DataFrame, min_sec: float = 5 / 6, max_sec: floa
         ((sec < min_sec - 1e-3) | (sec > max_sec + 1e-3), F.format_string(f"duration %.3fs out of [{min_sec:.3f}, {max_sec:.3f}]", sec)),
         (text.contains("\n"), F.lit("contains newline (must be single-line)")),
         (n > max_chars, F.format_string(f"chars %d > {max_chars}", n)),
-        (cps > max_cps + 1e-3, F.when(sec > 0, F.format_string(f"cps %.2f > {max_cps:.2f}", cps)).otherwise(f"cps inf > {max_cps:.2f}")),
+        (cps > max_cps + 1e-3, F.when(sec > 0, F.concat(F.lit("cps "), two_places(cps), F.lit(f" > {max_cps:.2f}"))).otherwise(f"cps inf > {max_cps:.2f}")),
         (text.contains("  "), F.lit("contains double spaces")),
         (text.rlike("[–—]"), F.lit("contains en/em dash")),
         (F.col("start_ms") < before, F.lit("overlaps previous cue")),

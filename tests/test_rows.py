@@ -52,3 +52,9 @@ def test_validation_report(spark):
     got = [tuple(r) for r in timing.validation_report(df).orderBy("track_id", "pos", "rule").collect()]
     assert [g[:3] for g in got] == [(1, 1, 1), (1, 1, 2), (1, 1, 4), (1, 1, 5), (1, 1, 6), (1, 1, 7), (1, 2, 1), (1, 2, 3), (2, 1, 4)]
     assert got[0][3] == "duration 0.000s out of [0.833, 7.000]" and got[-1][3] == "cps 21.00 > 20.00" and got[2][3] == "cps inf > 20.00"
+
+
+def test_two_places(spark):
+    values = [0.125, 0.375, 14.305, 14.315, 2.675, 1.005, 20.0, 0.0, 14.625, *(n / d for n in range(1, 60) for d in (0.8, 1.6, 2.4, 3.2, 1.12, 2.001))]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(tx.two_places(F.col("v"))).collect()
+    assert [r[0] for r in got] == [f"{v:.2f}" for v in values]
