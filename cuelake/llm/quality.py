@@ -1,9 +1,10 @@
 """Operator 5 [native]: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
-Only DataFrame expressions. Symbols (words and runs of one punctuation class) give hashed uni- and bigrams;
-counts over the whole corpus and over the trusted rows make two smoothed multinomials of ``BUCKETS`` buckets, a
-fixed size. A document's score is the mean of log p_target/p_raw over its n-grams; it is kept if the score reaches
-``THRESHOLD``. Null and empty texts have no words and fail the base rules; repeated rows are scored alike.
+Only DataFrame expressions. Three kinds of n-gram are hashed: words, pairs of neighbouring words, and as a further feature pairs
+of neighbouring shapes (words with runs of letters and digits folded, which leaves the punctuation). Counts over the whole
+corpus and over the trusted rows make two smoothed multinomials of ``BUCKETS`` buckets for each kind, a fixed size. A
+document's score is the mean of log p_target/p_raw over its words and word pairs plus the mean over its shapes; it is kept if
+the score reaches ``THRESHOLD``. Null and empty texts have no words and fail the base rules; repeated rows are scored alike.
 """
 
 from __future__ import annotations
@@ -69,30 +70,54 @@ def base_columns(docs: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame, trusted_ids: DataFrame, base: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Base columns plus ``llr`` and ``kept``. ``trusted_ids`` has the doc_id of trusted rows."""
-    t = F.coalesce(F.col("text"), F.lit(""))
-    feats = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shape_buckets(t).alias("f"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
     ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
-    marked = feats.join(F.broadcast(ids), "doc_id", "left")  # at most TRUSTED_ROWS ids
-    counts = (
-        marked.select(F.explode("f").alias("b"), "trusted")
-        .groupBy("b")
-        .agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))
-        .collect()  # at most BUCKETS rows
-    )
-    n_raw, n_good = sum(r["raw"] for r in counts) + BUCKETS, sum(r["good"] for r in counts) + BUCKETS
-    weights = [math.log(n_raw / n_good)] * BUCKETS
-    for r in counts:
-        weights[r["b"]] = math.log((r["good"] + 1) / n_good) - math.log((r["raw"] + 1) / n_raw)
-    table = F.lit(np.array(weights))
+    marked = rows.join(F.broadcast(ids), "doc_id", "left")  # at most TRUSTED_ROWS ids
+    shapes = marked.select(F.explode(shape_buckets(F.col("t"))).alias("b"), "trusted")
+    words = word_buckets(marked, "trusted").select(F.explode(F.array("u", "v")).alias("b"), "trusted")
+    counts = shapes.unionByName(words).groupBy("b").agg(F.count("*").alias("raw"), F.count("trusted").alias("good")).collect()  # at most 3 BUCKETS rows
+    table = F.lit(_weights(counts))
     base = base if base is not None else base_columns(docs)
     total = F.aggregate("f", F.lit(0.0), lambda a, b: a + F.get(table, b))
-    # A text has as many symbols as words.
-    out = base.withColumn("f", shape_buckets(F.col("t"))).withColumn("llr", F.coalesce(total / F.nullif("n_words", F.lit(0)), F.lit(0.0))).drop("t", "f")
+    # A text has as many shapes as words between spaces.
+    out = base.withColumn("f", shape_buckets(F.col("t"))).withColumn("shape_llr", F.coalesce(total / F.nullif("n_words", F.lit(0)), F.lit(0.0))).withColumn("h", F.xxhash64("t")).drop("t", "f")
+    # Rows of one id and text share a key; their mean is the same.
+    per_row = word_buckets(rows.withColumn("h", F.xxhash64("t")), "doc_id", "h").groupBy("doc_id", "h").agg(F.avg((F.get(table, F.col("u")) + F.get(table, F.col("v"))) / 2).alias("word_llr"))
+    per_row = per_row.select(F.col("doc_id").alias("d"), F.col("h").alias("k"), "word_llr")
+    out = out.join(per_row, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left").drop("d", "k", "h")
+    out = out.withColumn("llr", F.col("shape_llr") + F.coalesce("word_llr", F.lit(0.0))).drop("shape_llr", "word_llr")
     # Written, for a filter on kept would be pushed below the projections and repeat the array expressions many times over.
     return materialize(out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)), "quality")
 
 
+def _weights(counts) -> np.ndarray:
+    """log p_target/p_raw of each bucket: shapes, words, word pairs, ``BUCKETS`` of each kind.
+
+    Shapes have one count added on both sides. The target of words is smoothed towards the raw corpus instead, so that a word
+    that no trusted row has weighs against a text also where the trusted sample is small.
+    """
+    raw, good = np.zeros(3 * BUCKETS), np.zeros(3 * BUCKETS)
+    for r in counts:
+        raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
+    raw, good = raw.reshape(3, BUCKETS), good.reshape(3, BUCKETS)
+    p = (raw + 1) / (raw.sum(axis=1, keepdims=True) + BUCKETS)
+    prior = np.concatenate([np.ones((1, BUCKETS)), BUCKETS * p[1:]])
+    return (np.log((good + prior) / (good.sum(axis=1, keepdims=True) + BUCKETS)) - np.log(p)).ravel()
+
+
+def word_buckets(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per word (run of letters, marks and digits, in lower case) of ``t``: its bucket ``u``, and ``v`` of it and the next word.
+
+    Exploded rather than transformed, for lambdas are interpreted per element.
+    """
+    w = F.array_remove(F.split(F.lower("t"), "[^\\p{L}\\p{M}\\p{N}]+"), "")
+    pairs = rows.select(*keep, w.alias("w")).select(*keep, F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.size("w")).alias("n"))).alias("p"))
+    bucket = lambda h, kind: (F.pmod(h, F.lit(BUCKETS)) + kind * BUCKETS).cast("int")
+    x, n = F.col("p.x"), F.coalesce("p.n", F.lit("</s>"))
+    return pairs.select(*keep, bucket(F.xxhash64(x), 1).alias("u"), bucket(F.xxhash64(x, n), 2).alias("v"))
+
+
 def shape_buckets(text: Column) -> Column:
     """Bucket of each symbol of a text: a word's shape (runs of letters and digits folded) hashed with the next word's shape."""
     w = words_of(F.regexp_replace(text, "[\\p{L}\\p{N}]+", "a"))

@@ -238,3 +238,18 @@ def test_license(spark):
     got = {r.doc_id: r for r in license.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].whole_license == "MIT" and got[2].notices == "MIT" and got[2].whole_license is None
     assert got[3].n_notices == 0 and got[4].n_notices == 0
+
+
+def test_quality_reads_words(spark):
+    """Texts of one punctuation, and so of one shape, are told apart by their words and by the order of them."""
+    rng = np.random.default_rng(11)
+    good, spam = [f"prose{i}" for i in range(60)], [f"pills{i}" for i in range(20)]
+    chain = lambda: [good[(s + k) % 60] for s in [int(rng.integers(60))] for k in range(40)]
+    rows = [(i, " ".join(chain())) for i in range(300)]
+    rows += [(1000 + i, " ".join(rng.choice(spam, 40))) for i in range(100)]
+    rows += [(2000 + i, " ".join(rng.permutation(good)[:40])) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.score(df, df.where("doc_id < 150").select("doc_id")).collect()}
+    fresh, salad, ads = (np.array([r.llr for i, r in got.items() if a <= i < b]) for a, b in ((150, 300), (2000, 3000), (1000, 2000)))
+    assert fresh.min() > salad.max() > ads.max()
+    assert all(got[i].kept for i in range(300)) and not any(got[i].kept for i in range(1000, 1100))
