@@ -1,15 +1,22 @@
-"""Operator 4: variable-capacity best-fit packing.
+"""Operator 4: variable-capacity best-fit packing of token ids.
 
-Documents longer than the largest length are cut into full pieces and a rest. Within a shard, pieces go longest first into
-the open bin they fill best; if none fits, the bin size of least cost per token that the remaining pieces can fill is
-opened. At the end every bin shrinks to the smallest permitted length that holds its contents. Shards have about
-``SHARD_ROWS`` rows at any input size. Null and empty texts are one end token; every row is packed; an empty table gives none.
+A bin of length L costs ``BIN_COST + L + L * L / ATTENTION``: its set-up, its tokens with padding, and attention, which grows with
+the square. Texts longer than the largest length are cut into full pieces and a rest. Within a shard the permitted lengths are
+chosen jointly: every subset of them that can hold the longest piece is a plan; in a plan pieces go longest first into the
+open bin they fill best, and where none fits, the size of least cost per token that what remains can fill is opened; at the
+end every bin shrinks to the smallest permitted length that holds its contents. The plan of least total cost stays.
+
+Shards have about ``SHARD_TOKENS`` tokens at any input size; pieces are dealt by a row number, so equal rows and the pieces of one long
+text spread. Null and empty texts are one end token; repeated rows and null ids are packed like any other; ties go by id and
+piece; an empty table gives no bin; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,15 +25,22 @@ from .tokens import ByteLevelEncoder, loaded
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 #: Tokens' worth of cost of any bin, beside its length.
-BIN_COST = 32
-SHARD_ROWS = 20_000
+BIN_COST = 64
+#: Length at which attention costs as much as all else of a token.
+ATTENTION = 65_536
+SHARD_TOKENS = 6_000_000
+END_ID = 0
+
+
+def cost(length: int) -> float:
+    return BIN_COST + length + length * length / ATTENTION
 
 
-def best_fit(sizes: list[int], lengths=LENGTHS, bin_cost: int = BIN_COST) -> tuple[list[int], list[int], list[int]]:
-    """Bin of each piece, its offset in the bin, and the length of each bin. No piece may exceed the largest length."""
+def best_fit(sizes: list[int], opened, lengths=LENGTHS) -> tuple[list[int], list[int], list[int]]:
+    """Bin of each piece, its offset in the bin, and the length of each bin, where bins are opened at lengths in ``opened``."""
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     left = sum(sizes)
-    bin_of, offset, used, opened = [0] * len(sizes), [0] * len(sizes), [], []
+    bin_of, offset, used = [0] * len(sizes), [0] * len(sizes), []
     room: list[tuple[int, int]] = []  # (free tokens, bin), sorted
     for i in order:
         n = sizes[i]
@@ -34,9 +48,8 @@ def best_fit(sizes: list[int], lengths=LENGTHS, bin_cost: int = BIN_COST) -> tup
         if k < len(room):
             free, b = room.pop(k)
         else:
-            size = min((c for c in lengths if c >= n), key=lambda c: ((c + bin_cost) / max(1, min(c, left)), c))
-            b, free = len(opened), size
-            opened.append(size)
+            free = min((c for c in opened if c >= n), key=lambda c: (cost(c) / min(c, left), c))
+            b = len(used)
             used.append(0)
         bin_of[i], offset[i] = b, used[b]
         used[b] += n
@@ -46,35 +59,67 @@ def best_fit(sizes: list[int], lengths=LENGTHS, bin_cost: int = BIN_COST) -> tup
     return bin_of, offset, [next(c for c in lengths if c >= u) for u in used]
 
 
-def token_lengths(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens with the end token, h) of whole texts."""
+def joint_fit(sizes: list[int], lengths=LENGTHS) -> tuple[list[int], list[int], list[int]]:
+    """The plan of least total cost over all subsets of the lengths; ties go to the smaller subset, then to the shorter lengths."""
+    if not sizes:
+        return [], [], []
+    lengths, longest = sorted(lengths), max(sizes)
+    plans = [p for k in range(1, len(lengths) + 1) for p in combinations(lengths, k) if p[-1] >= longest]
+    return min((best_fit(sizes, p, lengths) for p in plans), key=lambda plan: sum(map(cost, plan[2])))
+
+
+def pieces(docs: DataFrame, path: str, most: int) -> DataFrame:
+    """(doc_id, piece, n_tokens, ids) of whole texts with the end token, cut after every ``most`` tokens; ids are little-endian bytes."""
     ship_package(docs.sparkSession)
 
     def run(batches):
         enc = loaded(ByteLevelEncoder, path)
+        end = np.array([END_ID], dtype=enc.dtype).tobytes()
+        step = most * enc.width
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                s = b.slice(i, 512)
-                n = [len(enc.ids(t)) + 1 for t in s.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([s.column(0), pa.array(n, pa.int64()), s.column(2)], ["doc_id", "n_tokens", "h"])
+            for i in range(0, b.num_rows, 256):
+                s = b.slice(i, 256)
+                rows = [(d, k, v[at : at + step]) for d, t in zip(s.column(0).to_pylist(), s.column(1).to_pylist()) for v in (enc.encode_batch([t])[0] + end,) for k, at in enumerate(range(0, len(v), step))]
+                d, k, v = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(k, pa.int32()), pa.array([len(x) // enc.width for x in v], pa.int64()), pa.array(v, pa.binary())], ["doc_id", "piece", "n_tokens", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
-    return rows.withColumn("h", F.xxhash64("doc_id", "t")).mapInArrow(run, "doc_id long, n_tokens long, h long")
+    return rows.mapInArrow(run, "doc_id long, piece int, n_tokens long, ids binary")
 
 
-def pack(docs: DataFrame, path: str, lengths=LENGTHS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per piece: doc_id, piece, n_tokens, shard, bin, bin_offset, bin_length."""
-    sizes = materialize(token_lengths(docs, path), "lengths")
-    most = max(lengths)
-    shards = sizes.count() // shard_rows + 1
-    cut = F.floor((F.col("n_tokens") - 1) / most).cast("int")
-    pieces = sizes.select("doc_id", "n_tokens", F.pmod("h", F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), cut)).alias("piece"))
-    pieces = pieces.select("shard", "doc_id", "piece", F.least(F.lit(most), F.col("n_tokens") - F.col("piece") * most).cast("long").alias("n_tokens"))
+def pack(docs: DataFrame, path: str, lengths=LENGTHS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """One row per bin: shard, bin, bin_length, n_tokens, and in the order of the bin doc_ids, pieces, starts, and all ids as bytes."""
+    rows = materialize(pieces(docs, path, max(lengths)).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    shards = (rows.agg(F.sum("n_tokens")).first()[0] or 0) // shard_tokens + 1
+    dealt = rows.select(F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), "doc_id", "piece", "n_tokens", "ids")
 
-    def run(_, table):
+    def run(key, table):
         t = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        bins, offsets, size = best_fit(t.column("n_tokens").to_pylist(), lengths)
-        t = t.append_column("bin", pa.array(bins, pa.int64())).append_column("bin_offset", pa.array(offsets, pa.int64()))
-        return t.append_column("bin_length", pa.array([size[b] for b in bins], pa.int64()))
-
-    return pieces.groupBy("shard").applyInArrow(run, "shard long, doc_id long, piece int, n_tokens long, bin long, bin_offset long, bin_length long")
+        bins, offsets, size = joint_fit(t.column("n_tokens").to_pylist(), lengths)
+        order = np.lexsort((offsets, bins))
+        cuts = np.searchsorted(np.asarray(bins)[order], np.arange(len(size) + 1))
+        t = t.take(pa.array(order))
+        doc, piece, n, ids = (t.column(c).to_pylist() for c in ("doc_id", "piece", "n_tokens", "ids"))
+        starts = np.asarray(offsets)[order].tolist()
+        parts = [slice(a, z) for a, z in zip(cuts, cuts[1:])]
+        each = lambda values: [values[p] for p in parts]
+        return pa.table(
+            {
+                "shard": pa.array([key[0].as_py()] * len(size), pa.int64()),
+                "bin": pa.array(range(len(size)), pa.int64()),
+                "bin_length": pa.array(size, pa.int64()),
+                "n_tokens": pa.array(map(sum, each(n)), pa.int64()),
+                "doc_ids": pa.array(each(doc), pa.list_(pa.int64())),
+                "pieces": pa.array(each(piece), pa.list_(pa.int32())),
+                "starts": pa.array(each(starts), pa.list_(pa.int64())),
+                "ids": pa.array([b"".join(x) for x in each(ids)], pa.binary()),
+            }
+        )
+
+    schema = "shard long, bin long, bin_length long, n_tokens long, doc_ids array<long>, pieces array<int>, starts array<long>, ids binary"
+    return dealt.groupBy("shard").applyInArrow(run, schema)
+
+
+def digests(bins: DataFrame) -> DataFrame:
+    """The bins with an unsigned CRC-32 in place of their ids."""
+    return bins.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -4,13 +4,13 @@ Only DataFrame expressions. Three kinds of n-gram are hashed: words, pairs of ne
 of neighbouring shapes (words with runs of letters and digits folded, which leaves the punctuation). Counts over the whole
 corpus and over the trusted rows make two smoothed multinomials of ``BUCKETS`` buckets for each kind, a fixed size. A
 document's score is the mean of log p_target/p_raw over its words and word pairs plus the mean over its shapes; it is kept if
-the score reaches ``THRESHOLD``. Null and empty texts have no words and fail the base rules; repeated rows are scored alike.
+the score reaches ``THRESHOLD``. Null and empty texts have no words and fail the base rules; null ids are scored and never trusted;
+repeated rows are scored alike; a score at the threshold is kept; very long texts are read whole; an empty table gives no row;
+extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,12 +28,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
-def base_columns(docs: DataFrame) -> DataFrame:
-    """doc_id and the counted base rules of whole texts."""
-    t = F.coalesce(F.col("text"), F.lit(""))
+def base_columns(rows: DataFrame) -> DataFrame:
+    """``rows`` (row, doc_id, t) with the counted base rules of whole texts."""
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t.alias("t"))
     rows = rows.select(
+        "row",
         "doc_id",
         "t",
         words_of(F.col("t")).alias("w"),
@@ -41,6 +40,7 @@ def base_columns(docs: DataFrame) -> DataFrame:
         lines.alias("lines"),
     )
     rows = rows.select(
+        "row",
         "doc_id",
         "t",
         F.size("w").cast("long").alias("n_words"),
@@ -68,9 +68,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", failed)
 
 
-def score(docs: DataFrame, trusted_ids: DataFrame, base: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Base columns plus ``llr`` and ``kept``. ``trusted_ids`` has the doc_id of trusted rows."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+def score(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD, row: str | None = None) -> DataFrame:
+    """Base columns plus ``llr`` and ``kept``, and the column ``row``, a unique number, where one is named.
+
+    ``trusted_ids`` has the doc_id of trusted rows.
+    """
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    rows = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    rows = rows if row else materialize(rows, "rows")
     ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
     marked = rows.join(F.broadcast(ids), "doc_id", "left")  # at most TRUSTED_ROWS ids
@@ -78,17 +83,15 @@ def score(docs: DataFrame, trusted_ids: DataFrame, base: DataFrame | None = None
     words = word_buckets(marked, "trusted").select(F.explode(F.array("u", "v")).alias("b"), "trusted")
     counts = shapes.unionByName(words).groupBy("b").agg(F.count("*").alias("raw"), F.count("trusted").alias("good")).collect()  # at most 3 BUCKETS rows
     table = F.lit(_weights(counts))
-    base = base if base is not None else base_columns(docs)
     total = F.aggregate("f", F.lit(0.0), lambda a, b: a + F.get(table, b))
     # A text has as many shapes as words between spaces.
-    out = base.withColumn("f", shape_buckets(F.col("t"))).withColumn("shape_llr", F.coalesce(total / F.nullif("n_words", F.lit(0)), F.lit(0.0))).withColumn("h", F.xxhash64("t")).drop("t", "f")
-    # Rows of one id and text share a key; their mean is the same.
-    per_row = word_buckets(rows.withColumn("h", F.xxhash64("t")), "doc_id", "h").groupBy("doc_id", "h").agg(F.avg((F.get(table, F.col("u")) + F.get(table, F.col("v"))) / 2).alias("word_llr"))
-    per_row = per_row.select(F.col("doc_id").alias("d"), F.col("h").alias("k"), "word_llr")
-    out = out.join(per_row, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left").drop("d", "k", "h")
+    out = base_columns(rows).withColumn("f", shape_buckets(F.col("t"))).withColumn("shape_llr", F.coalesce(total / F.nullif("n_words", F.lit(0)), F.lit(0.0))).drop("t", "f")
+    per_row = word_buckets(rows, "row").groupBy("row").agg(F.avg((F.get(table, F.col("u")) + F.get(table, F.col("v"))) / 2).alias("word_llr"))
+    out = out.join(per_row, "row", "left")
     out = out.withColumn("llr", F.col("shape_llr") + F.coalesce("word_llr", F.lit(0.0))).drop("shape_llr", "word_llr")
     # Written, for a filter on kept would be pushed below the projections and repeat the array expressions many times over.
-    return materialize(out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)), "quality")
+    out = materialize(out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)), "quality")
+    return out.withColumnRenamed("row", row) if row else out.drop("row")
 
 
 def _weights(counts) -> np.ndarray:

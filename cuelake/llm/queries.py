@@ -33,7 +33,7 @@ def op3_chat_format(spark, d):
 
 
 def op4_pack(spark, d):
-    return packing.pack(_t(spark, d, "documents"), tokenizer("byte_bpe_50k.json"))
+    return packing.digests(packing.pack(_t(spark, d, "documents"), tokenizer("byte_bpe_50k.json")))
 
 
 def _trusted(spark, d):

@@ -1,12 +1,16 @@
 """Operator 6: SimHash near-duplicates by pivot distance tables.
 
-Each distinct fingerprint gets its Hamming distances to ``PIVOTS`` reference fingerprints. Within 2 bits, no distance to a
-pivot differs by more than 2, so pairs with a larger coordinate difference are discarded and survivors verified by
-exact distance. Pairs meet where three of five bit blocks agree (two differing bits spoil at most two blocks, so
-none is lost); a crowded meeting place is dealt again by blocks of its free bits, where at most 2,048 can meet. Each
-place returns a spanning forest of its links. Components come from rounds of smallest-neighbour hooking, each written.
-
-Null texts count as empty; texts without words have fingerprint zero, linked like any other; null ids sort last.
+Each distinct fingerprint gets its Hamming distances to ``PIVOTS`` reference fingerprints once, a table of one byte each that it
+carries along. Within 2 bits, no distance to a pivot differs by more than 2, so pairs with a larger coordinate difference are
+discarded and survivors verified by exact distance. Distances to random pivots are alike for nearly all fingerprints (README has
+figures), so a table alone cannot say who meets whom without comparing all: pairs meet where three of five bit blocks
+agree (two differing bits spoil at most two blocks, so none is lost); a crowded meeting place is dealt again by blocks of its
+free bits, where at most 2,048 can meet. Each place returns a spanning forest of its links. Components come from rounds of
+smallest-neighbour hooking over fingerprints, each written, and are named by their smallest id at the end.
+
+Null texts count as empty; texts without words have fingerprint zero, linked like any other; null ids sort last, a component
+of them alone has none; repeated rows share a fingerprint; very long texts are counted in slices; extra columns are ignored;
+an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -64,10 +68,23 @@ def _meeting_keys(bits: list[int]) -> list[int]:
     return [sum(c) for c in combinations(blocks, 3)]
 
 
-def forest(fps: np.ndarray) -> list[tuple[int, int]]:
+def distance_tables(distinct: DataFrame) -> DataFrame:
+    """``distinct`` (fp, label) with ``table``: the distances to all pivots, one byte each."""
+    ship_package(distinct.sparkSession)
+
+    def run(batches):
+        at = pivots()
+        for b in batches:
+            fps = b.column(0).to_numpy().view(np.uint64)
+            tables = np.bitwise_count(fps[:, None] ^ at).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t.tobytes() for t in tables], pa.binary())], ["fp", "label", "table"])
+
+    return distinct.select("fp", "label").mapInArrow(run, "fp long, label long, table binary")
+
+
+def forest(fps: np.ndarray, table: np.ndarray) -> list[tuple[int, int]]:
     """Spanning forest of links within RADIUS among distinct fingerprints: pivot filter, then verification."""
     n = len(fps)
-    table = np.stack([np.bitwise_count(fps ^ p) for p in pivots()], axis=1).astype(np.int8)
     root, links = list(range(n)), []
 
     def find(i):
@@ -86,43 +103,44 @@ def forest(fps: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def _places(masks: list[int]):
-    return F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(np.uint64(m).view(np.int64).item())).alias("v")) for k, m in enumerate(masks)])
+def _masked(masks: list[int]):
+    """Array of the values of ``fp`` under each mask."""
+    return F.array(*[F.col("fp").bitwiseAND(F.lit(np.uint64(m).view(np.int64).item())) for m in masks])
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(a, b): links that connect every two distinct fingerprints within RADIUS bits of each other."""
+    """(a, b): links that connect every two distinct fingerprints within RADIUS bits of each other. distinct: (fp, table)."""
     masks = _meeting_keys(list(range(64)))
-    seats = distinct.select("fp", F.explode(_places(masks)).alias("p")).select("fp", "p.k", "p.v")
+    seats = distinct.select("fp", "table", F.posexplode(_masked(masks)).alias("k", "v"))
     size = seats.groupBy("k", "v").agg(F.count("*").alias("n")).where("n > 1")
     seats = materialize(seats.join(size, ["k", "v"]), "seats")
-    crowded, fine = seats.where(F.col("n") > CROWDED), None
-    for k, m in enumerate(masks):
-        inner = _meeting_keys([b for b in range(64) if not m >> b & 1])
-        part = crowded.where(F.col("k") == k).select("fp", "k", "v", F.explode(_places(inner)).alias("p")).select("fp", "k", "v", F.col("p.k").alias("k2"), F.col("p.v").alias("v2"))
-        fine = part if fine is None else fine.unionByName(part)
-    plain = seats.where(F.col("n") <= CROWDED).select("fp", "k", "v", F.lit(-1).alias("k2"), F.lit(0).cast("long").alias("v2"))
-
-    def run(_, table):
-        found = forest(np.unique(table.column("fp").to_numpy()).view(np.uint64))
+    inner = [np.array(_meeting_keys([b for b in range(64) if not m >> b & 1]), dtype=np.uint64).view(np.int64).tolist() for m in masks]
+    again = F.element_at(F.lit(inner), F.col("k") + 1)
+    crowded = seats.where(F.col("n") > CROWDED).withColumn("again", again).select("fp", "table", "k", "v", F.posexplode(F.transform("again", lambda m: F.col("fp").bitwiseAND(m))).alias("k2", "v2"))
+    plain = seats.where(F.col("n") <= CROWDED).select("fp", "table", "k", "v", F.lit(-1).alias("k2"), F.lit(0).cast("long").alias("v2"))
+
+    def run(_, t):
+        fps, at = np.unique(t.column("fp").to_numpy().view(np.uint64), return_index=True)
+        table = np.frombuffer(b"".join(t.column("table").take(pa.array(at)).to_pylist()), dtype=np.uint8).reshape(-1, PIVOTS).astype(np.int8)
+        found = forest(fps, table)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return plain.unionByName(fine).groupBy("k", "v", "k2", "v2").applyInArrow(run, "a long, b long")
+    return plain.unionByName(crowded).groupBy("k", "v", "k2", "v2").applyInArrow(run, "a long, b long")
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, label): smallest label reachable. nodes: (fp, label). Alternates hooking onto smallest neighbours and short-cuts."""
+def components(edges: DataFrame) -> DataFrame:
+    """(fp, root) of every end of an edge: smallest end reachable. Alternates hooking onto smallest neighbours and short-cuts."""
     e = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     touched = materialize(e, "edges")
-    state = materialize(nodes.join(touched.select(F.col("a").alias("fp")).distinct(), "fp").select("fp", "label"), "labels")
+    state = materialize(touched.groupBy(F.col("a").alias("fp")).agg(F.min("b").alias("m")).select("fp", F.least("fp", "m").alias("root")), "roots")
     while True:
-        near = touched.join(state, touched["b"] == state["fp"]).groupBy("a").agg(F.min("label").alias("m"))
-        new = state.join(near, state["fp"] == near["a"]).select("fp", F.least("label", "m").alias("label"), F.col("label").alias("was"))
-        # Short-cut: every holder of a label follows the smallest that any of them has found.
-        jump = new.groupBy("was").agg(F.min("label").alias("to"))
-        new = materialize(new.join(jump, "was").select("fp", F.least("label", "to").alias("label"), "was"), "labels")
-        changed = new.where("label < was").limit(1).count()
-        state = new.select("fp", "label")
+        near = touched.join(state, touched["b"] == state["fp"]).groupBy("a").agg(F.min("root").alias("m"))
+        new = state.join(near, state["fp"] == near["a"]).select("fp", F.least("root", "m").alias("root"), F.col("root").alias("was"))
+        # Short-cut: every holder of a root follows the smallest that any of them has found.
+        jump = new.groupBy("was").agg(F.min("root").alias("to"))
+        new = materialize(new.join(jump, "was").select("fp", F.least("root", "to").alias("root"), "was"), "roots")
+        changed = new.where("root < was").limit(1).count()
+        state = new.select("fp", "root")
         if not changed:
             return state
 
@@ -130,7 +148,9 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id of every row."""
     fps = materialize(fingerprints(docs), "fingerprints")
-    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("label")), "distinct")
-    found = components(nodes, links(nodes.select("fp"))).withColumnRenamed("label", "low")
-    label = nodes.join(found, "fp", "left").select("fp", F.coalesce("low", "label").alias("component_id"))
+    nodes = materialize(distance_tables(fps.groupBy("fp").agg(F.min("doc_id").alias("label"))), "distinct")
+    root = components(materialize(links(nodes.select("fp", "table")), "links"))
+    rooted = nodes.select("fp", "label").join(root, "fp", "left").select("fp", "label", F.coalesce("root", "fp").alias("root"))
+    low = rooted.groupBy("root").agg(F.min("label").alias("component_id"))
+    label = materialize(rooted.join(low, "root").select("fp", "component_id"), "components")
     return fps.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

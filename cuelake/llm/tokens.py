@@ -35,8 +35,10 @@ def _byte_alphabet() -> dict[int, str]:
 class ByteLevelEncoder:
     """Ids of whole texts as the tokenizers library gives them, as packed little-endian uint16 or uint32.
 
-    A vocabulary whose ids ascend in the order of their merges is also a rank table; texts of Latin characters are merged
-    by rank, which needs no cache of words. All other texts and vocabularies go through the library itself.
+    A vocabulary whose ids ascend in the order of their merges is also a rank table, and if besides every token merges to itself,
+    merging by rank gives the library's ids: two neighbours whose concatenation is a token t are then always the pair that t's
+    own merge joins, since merging t's bytes alone would otherwise stop at other halves. ``merges_to_itself`` checks that for
+    a whole vocabulary. Texts of Latin characters are merged by rank; all others go through the library itself.
     """
 
     def __init__(self, path: str):
@@ -59,6 +61,14 @@ class ByteLevelEncoder:
                 pass  # a run of white space too long for its pattern matcher
         return np.array(self.tk.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
+    def merges_to_itself(self) -> bool:
+        """Whether the library encodes the text of every token as that token alone, by its merges, without cutting.
+
+        The model reads the bytes' stand-ins, so tokens of torn characters are tried too.
+        """
+        bpe = self.tk.model
+        return all(t in self.special or [x.id for x in bpe.tokenize(t)] == [i] for t, i in self.tk.get_vocab().items())
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         return [self.ids(t).astype(self.dtype).tobytes() for t in texts]
 
@@ -215,7 +225,9 @@ class SpeculativeBpe:
 
     def _words(self, text: str) -> list[str]:
         if not _FAST.search(text):
-            return _LOWER_WORDS.findall(unicodedata.normalize("NFC", text).lower())
+            n = unicodedata.normalize("NFC", text).lower()
+            if not _FAST.search(n):  # some capitals lower to letters beyond the class
+                return _LOWER_WORDS.findall(n)
         n = self.tk.normalizer.normalize_str(text)
         return [n[a:b] for _, (a, b) in self.tk.pre_tokenizer.pre_tokenize_str(n)]
 

@@ -15,6 +15,8 @@ from tokenizers import Tokenizer
 from cuelake.llm import bpe_ops, chat, exact_dedup, license, lm, packing, quality, simhash, sst, tokens, toxicity
 from cuelake.llm.queries import tokenizer
 
+import plain
+
 D = "/root/testdata/sf0.001"
 ODD = [None, "", " \n\t ", "one", "a b", "x <|endoftext|> y", "İstanbul Σας 你好 12½", "same  text", "same\ttext", "word " * 3000, "L1 a\nL1 a\n\nL1 a", "a b c d e f g h a b c d e f g h a b c d e f g h"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, t string, n long"
@@ -57,7 +59,30 @@ def test_sst(spark, docs, texts, tmp_path):
         assert len(r.blocks) > 2 and all(r.get(sst.key_of(i)) == bytes(200) for i in range(-5000, 5000, 22)) and r.get(sst.key_of(1)) is None
 
 
+def test_word_encoder_latin():
+    """Every character of the fast path, in four settings, and random texts of it."""
+    tk, bpe = Tokenizer.from_file(tokenizer("word_bpe_49k.json")), tokens.loaded(tokens.SpeculativeBpe, tokenizer("word_bpe_49k.json"))
+    rng, latin = np.random.default_rng(6), [chr(c) for c in range(0x250)]
+    odd = [t for c in latin for t in (c, f"a{c}b", f"{c} {c}{c}", f"1{c}x")] + ["".join(rng.choice(latin, 40)) for _ in range(3000)]
+    odd += ["aƁb", "ƏZƏRİ Ɗan Ƒe", "A\u030a é e\u0301", " \n\t "]
+    assert bpe.encode_batch(odd) == [tk.encode(t, add_special_tokens=False).ids for t in odd]
+
+
+def test_bpe_odd_rows(spark):
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (None, None), (2, ""), (2, "")], "doc_id long, text string")
+    got = bpe_ops.encode_digests(odd, tokenizer("word_bpe_49k.json")).collect()
+    assert sorted(r.n_tokens for r in got) == [0, 0, 0, 2, 2] and bpe_ops.encode_digests(empty(spark), tokenizer("word_bpe_49k.json")).count() == 0
+
+
+def test_sst_odd_rows(spark):
+    odd = spark.createDataFrame([(None, "a b"), (None, None), (2, "x"), (2, "x"), (-4, "")], "doc_id long, text string")
+    got = sorted(sst.token_table(odd, tokenizer("byte_bpe_50k.json")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, -4, 2, 2] and [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+
+
 def test_byte_level_encoder():
+    """Ranks give the library's ids since every token merges to itself; see ``ByteLevelEncoder``."""
+    assert tokens.ByteLevelEncoder(tokenizer("byte_bpe_50k.json")).merges_to_itself()
     tk, enc = Tokenizer.from_file(tokenizer("byte_bpe_50k.json")), tokens.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
     assert enc.ranked
     rng, latin = np.random.default_rng(5), [chr(c) for c in range(0x250)]
@@ -133,27 +158,50 @@ def test_chat(spark):
 
 
 def test_packing(spark, docs, texts):
-    got = packing.pack(docs, tokenizer("byte_bpe_50k.json"), lengths=(64, 256, 1024)).toPandas()
-    assert set(got.doc_id) == set(texts)
-    for _, b in got.groupby(["shard", "bin"]):
-        used = b.n_tokens.sum()
-        assert used <= b.bin_length.iloc[0] and b.bin_length.iloc[0] == min(c for c in (64, 256, 1024) if c >= used)
-        b = b.sort_values("bin_offset")
-        assert (b.bin_offset.to_numpy() == np.concatenate([[0], b.n_tokens.cumsum().to_numpy()[:-1]])).all()
+    tk = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    lengths = (64, 256, 1024)
+    got = packing.pack(docs, tokenizer("byte_bpe_50k.json"), lengths=lengths, shard_tokens=20_000).collect()
+    plain.check_bins(got, {i: tk.encode(t, add_special_tokens=False).ids + [packing.END_ID] for i, t in texts.items()}, lengths)
+    assert len({r.shard for r in got}) > 1
     assert packing.pack(empty(spark), tokenizer("byte_bpe_50k.json")).count() == 0
+    odd = spark.createDataFrame([(None, ""), (None, ""), (None, None), (3, "a b"), (3, "a b")], "doc_id long, text string")
+    bins = packing.pack(odd, tokenizer("byte_bpe_50k.json")).collect()
+    assert sorted((d is not None, d or 0) for r in bins for d in r.doc_ids) == [(False, 0)] * 3 + [(True, 3)] * 2
+
+
+def test_packing_is_joint():
+    """Never dearer than the largest length alone or any one way of opening; near the least cost of all partitions."""
+    rng = np.random.default_rng(7)
+    total = lambda plan: sum(map(packing.cost, plan[2]))
+    lengths, dearer = (8, 16, 32), []
+    for _ in range(60):
+        sizes = rng.integers(1, 33, 6).tolist()
+        plan = packing.joint_fit(sizes, lengths)
+        for b, size in enumerate(plan[2]):
+            assert sum(n for n, at in zip(sizes, plan[0]) if at == b) <= size
+        assert total(plan) <= total(packing.best_fit(sizes, lengths[-1:], lengths))
+        least = min(sum(packing.cost(next(c for c in lengths if c >= sum(sizes[i] for i in g))) for g in p) for p in plain.partitions(range(6)) if all(sum(sizes[i] for i in g) <= 32 for g in p))
+        assert total(plan) >= least - 1e-9
+        dearer.append(total(plan) / least)
+    assert np.mean(dearer) < 1.03 and sum(x < 1 + 1e-9 for x in dearer) > 40
+    sizes = rng.integers(1, 2000, 3000).tolist()
+    assert total(packing.joint_fit(sizes)) < 0.97 * total(packing.best_fit(sizes, packing.LENGTHS[-1:]))
 
 
 def test_quality(spark, docs, texts):
-    for r in quality.score(docs, docs.select("doc_id").limit(30)).collect():
-        t = texts[r.doc_id]
-        w = re.findall(r"[^\x20\x09-\x0D]+", t)
-        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-        win = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
-        hit = {k for i in range(len(w) - 7) if win[tuple(w[i : i + 8])] > 1 for k in range(i, i + 8)}
-        assert (r.n_words, r.word_chars, r.n_symbols) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)))
-        assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), len(hit))
-        assert r.base_failed == (len(w) < 20 or 100 * len(hit) > 30 * len(w)) and not (r.base_failed and r.kept)
+    trusted = [r.doc_id for r in docs.select("doc_id").limit(30).collect()]
+    want = plain.quality(texts, set(trusted))
+    kept = {True: 0, False: 0}
+    for r in quality.score(docs, docs.where(docs.doc_id.isin(trusted)).select("doc_id")).collect():
+        base, llr = want[r.doc_id]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base
+        assert math.isclose(r.llr, llr, rel_tol=1e-9, abs_tol=1e-9) and r.kept == (not r.base_failed and r.llr >= quality.THRESHOLD)
+        kept[r.kept] += 1
+    assert min(kept.values()) > 3
     assert quality.score(empty(spark), empty(spark)).count() == 0
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (None, None), (2, texts[trusted[0]]), (2, texts[trusted[0]])], "doc_id long, text string")
+    got = quality.score(odd, odd.select("doc_id")).collect()
+    assert len(got) == 5 and len({r.llr for r in got if r.doc_id == 2}) == 1
 
 
 def _components(fp):
@@ -190,8 +238,12 @@ def test_simhash_chain_and_crowd(spark):
     crowd = [fps[1] ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(a)]
     every = sorted(set(fps + chain + crowd))
     signed = [(int(np.uint64(x).view(np.int64)), i) for i, x in enumerate(every)]
-    nodes = spark.createDataFrame(signed, "fp long, label long")
-    got = {r.fp: r.label for r in simhash.components(nodes, simhash.links(nodes.select("fp"))).collect()}
+    nodes = simhash.distance_tables(spark.createDataFrame(signed, "fp long, label long"))
+    root = {r.fp: r.root for r in simhash.components(simhash.links(nodes)).collect()}
+    low = {}
+    for f, i in signed:
+        low[root.get(f, f)] = min(i, low.get(root.get(f, f), i))
+    got = {f: low[root.get(f, f)] for f, _ in signed}
     arr = np.array(every, dtype=np.uint64)
     root = list(range(len(arr)))
 
@@ -215,22 +267,74 @@ def test_exact(spark, docs, texts):
         assert (r.keep_id, r.group_size, r.kept) == (min(same), len(same), min(same) == r.doc_id)
         assert r.text_sha256 == hashlib.sha256(norm[r.doc_id].encode()).hexdigest()
     assert exact_dedup.exact_groups(empty(spark)).count() == 0
+    odd = spark.createDataFrame([(None, "a  b"), (None, "a b"), (5, "a b"), (5, "a b"), (None, "x"), (None, "x"), (7, None), (3, "")], "doc_id long, text string")
+    for rounds in (None, 1, 3):
+        got = exact_dedup.exact_groups(odd, rounds=rounds).collect()
+        assert sorted((r.keep_id is not None, r.keep_id or 0, r.group_size) for r in got if r.kept) == [(False, 0, 2), (True, 3, 2), (True, 5, 4)] and len(got) == 8
+
+
+def test_simhash_odd_rows(spark):
+    odd = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (9, "a b c d"), (None, "p q r s t"), (None, None), (4, ""), (4, "")], "doc_id long, text string")
+    got = simhash.near_groups(odd).collect()
+    assert len(got) == 7 and {r.component_id for r in got if r.fingerprint == "0" * 16} == {4}
+    assert {r.component_id for r in got if r.fingerprint == f"{simhash.fingerprint('a b c d'):016x}"} == {9}
+    assert simhash.near_groups(empty(spark)).count() == 0
+    assert f"{simhash.fingerprint('w x y z ' * 100_000):016x}" == f"{simhash.fingerprint('w x y z ' * 50_000):016x}"
 
 
 def test_toxicity_held_out(spark):
-    d = "/root/testdata/check_s"
-    rows = spark.read.parquet(f"{d}/labels.parquet").where("doc_id % 10 = 3")
-    all_docs = spark.read.parquet(f"{d}/documents.parquet").join(rows.select("doc_id"), "doc_id", "left_semi")
-    got = toxicity.score(all_docs, toxicity.train(all_docs, rows)).join(rows, "doc_id").where("held_out").toPandas()
-    assert len(got) > 200 and (got.predicted == got.toxic).mean() > 0.97
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    labelled = spark.read.parquet(f"{d}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    got = toxicity.score(labelled, toxicity.train(labelled, labels)).join(labels, "doc_id").where("held_out").toPandas()
+    assert len(got) > 700 and (got.predicted == got.toxic).mean() > 0.98
+    assert (got[got.toxic == 1].predicted == 1).mean() > 0.85 and (got[got.toxic == 0].predicted == 0).mean() > 0.99
 
 
 def test_toxicity_edges(spark, docs):
-    g = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
-    assert toxicity.score(docs, g).count() == docs.count()
-    g = toxicity.Grammar({"fool": 4.0}, -4, 2)
-    assert g.score("You are a fool.") > g.score("He said: fool") > g.score("nothing here")
-    assert g.weight("not a fool") < g.weight("a fool")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    g = toxicity.train(docs, none)
+    assert toxicity.score(docs, g).count() == docs.count() and toxicity.score(empty(spark), g).count() == 0
+    odd = spark.createDataFrame([(None, "a"), (None, "a"), (None, None), (2, "you fool " * 50_000), (2, "you fool " * 50_000)], "doc_id long, text string")
+    got = toxicity.score(odd, toxicity.Grammar({"fool": 4.0})).collect()
+    assert len(got) == 5 and not any(r.held_out for r in got if r.doc_id is None) and [r.predicted for r in got if r.doc_id == 2] == [1, 1]
+
+
+def test_toxicity_rules():
+    g = toxicity.Grammar({"fool": 4.0})
+    w = g.weight
+    assert w("You are a fool.") > w("a fool") > w("He said: fool") > w("not a fool") > 0 == w("nothing here")
+    assert w("fool, you") == w("you fool") and w("fool. you") == w("fool")
+    assert w("I will kill you") > w("kill") > 0 and w("I will kill you") > w("I will never kill you") and w("Ich töte dich") == w("I will kill you")
+    assert w("he wrote that they will shoot us") < w("they will shoot us")
+    assert w("not one of all these people here is a fool") == w("people fool")  # the negation reaches three words
+    assert w("fool. " * 100) < 100 * w("fool")
+
+
+def test_toxicity_machine():
+    """The compiled table against a plain reading of the rules, over all short clauses."""
+    after, out, end = toxicity.machine()
+    place = {s: i for i, s in enumerate(toxicity.ALPHABET)}
+    names = ("insult0", "threat", "target", "negation", "report", "other")
+    for n in range(1, 6):
+        for clause in itertools.product(names, repeat=n):
+            state, got = 0, Counter()
+            for s in clause:
+                got.update(out[state][place[s]])
+                state = after[state][place[s]]
+            got.update(end[state])
+            want = Counter()
+            for i, s in enumerate(clause):
+                if s not in toxicity.HITS:
+                    continue
+                negated = "negation" in clause[max(0, i - toxicity.NEGATION_REACH) : i]
+                mark = "negated" if negated else "reported" if "report" in clause[:i] else "plain"
+                want[toxicity.EVENTS.index((s, mark, False))] += 1
+                later = [j for j in range(i + 1, n) if clause[j] == "target"]
+                next_hit = min((j for j in range(i + 1, n) if clause[j] in toxicity.HITS), default=n)
+                if "target" in clause[:i] or (later and later[0] < next_hit):
+                    want[toxicity.EVENTS.index((s, mark, True))] += 1
+            assert got == want, clause
 
 
 def test_license(spark):

@@ -1,70 +1,32 @@
 """The corpus pipeline against a plain Python version of its stages, one after the other."""
 
-import math
 import re
 import zlib
-from collections import Counter
 
-import regex
-import xxhash
+import corpus_pipeline
 from tokenizers import Tokenizer
 
-import corpus_pipeline
 from cuelake.llm import packing, quality, toxicity
 from cuelake.llm.queries import tokenizer
 
-from test_llm import D, ODD, _components
-
-
-def _shapes(text):
-    w = re.findall(r"[^\x20\x09-\x0D]+", regex.sub(r"[\p{L}\p{N}]+", "a", text))
-    return list(zip(w, [*w[1:], "</s>"]))
-
-
-def _bucket(s):
-    return xxhash.xxh64_intdigest(s[1].encode(), xxhash.xxh64_intdigest(s[0].encode(), 42)) % quality.BUCKETS
-
+import plain
+from test_llm import D, ODD
 
-def _quality(docs, trusted):
-    raw, good = Counter(), Counter()
-    for i, t in docs.items():
-        f = [_bucket(s) for s in _shapes(t)]
-        raw.update(f)
-        good.update(f if i in trusted else ())
-    n, m = sum(raw.values()) + quality.BUCKETS, sum(good.values()) + quality.BUCKETS
-    kept = {}
-    for i, t in docs.items():
-        w = re.findall(r"[^\x20\x09-\x0D]+", t)
-        win = Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
-        hit = {j for k in range(len(w) - 7) if win[tuple(w[k : k + 8])] > 1 for j in range(k, k + 8)}
-        if len(w) < 20 or 100 * len(hit) > 30 * len(w):
-            continue
-        f = [_bucket(s) for s in _shapes(t)]
-        if sum(math.log((good[b] + 1) / m) - math.log((raw[b] + 1) / n) for b in f) / len(f) >= quality.THRESHOLD:
-            kept[i] = t
-    return kept
 
-
-def _fingerprint(t):
-    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t))
-    h = [xxhash.xxh64_intdigest(" ".join(w[k : k + 3]).encode(), 42) for k in range(max(1, len(w) - 2))]
-    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
-
-def _plain(docs, labels):
-    sample = [(docs[i], y) for i, (_, y) in labels.items() if i in docs and zlib.crc32(str(i).encode()) % 5]
-    g = toxicity.Grammar(toxicity.learn_lexicon(sample)).fit(sample)
+def _plain(docs, labels, spark):
+    sample = [(i, docs[i], y) for i, (_, y) in labels.items() if i in docs and zlib.crc32(str(i).encode()) % 5]
+    g = toxicity.train(spark.createDataFrame([(i, t) for i, t, _ in sample], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in sample], "doc_id long, toxic int"))
     docs = {i: t for i, t in docs.items() if g.score(t) < 0.5}
     sizes = [len(docs)]
-    docs = _quality(docs, {i for i, (q, _) in labels.items() if q == 1})
+    docs = {i: docs[i] for i, (b, llr) in plain.quality(docs, {i for i, (q, _) in labels.items() if q == 1}).items() if not b[-1] and llr >= quality.THRESHOLD}
     sizes.append(len(docs))
     first = {}
     for i in sorted(docs):
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", docs[i]), i)
     docs = {i: docs[i] for i in first.values()}
     sizes.append(len(docs))
-    comp = _components({i: _fingerprint(t) for i, t in docs.items()})
-    docs = {i: t for i, t in docs.items() if comp[i] == i}
+    low = plain.near(docs)
+    docs = {i: t for i, t in docs.items() if low[i] == i}
     return docs, [*sizes, len(docs)]
 
 
@@ -76,25 +38,38 @@ def test_pipeline(spark, tmp_path):
     planted |= {60_000 + k: texts[i] for k, i in enumerate(clean)}
     planted |= {61_000 + k: "  " + texts[i].replace(" ", "\n", 1) for k, i in enumerate(clean)}
     planted |= {62_000 + k: texts[i].upper() + "\n" for k, i in enumerate(clean)}
+    planted |= {63_000 + k: texts[i] + " and three words" for k, i in enumerate(clean)}
     extra = spark.createDataFrame([(i, t, None, None, None) for i, t in planted.items()], real.schema)
     real.unionByName(extra).write.parquet(f"{tmp_path}/documents.parquet")
     labels = spark.read.parquet(f"{D}/labels.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     by_id = {r.doc_id: (r.quality, r.toxic) for r in labels.collect()}
-    want, sizes = _plain({i: t or "" for i, t in (texts | planted).items()}, by_id)
-    got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
-    assert set(got.doc_id) == set(want) and sizes == sorted(sizes, reverse=True) and sizes[0] > sizes[1] > sizes[2] > sizes[3] > 0
+    want, sizes = _plain({i: t or "" for i, t in (texts | planted).items()}, by_id, spark)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > 0
     tk = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
-    total = got.groupby("doc_id").n_tokens.sum()
-    for i, t in want.items():
-        assert total[i] == len(tk.encode(t, add_special_tokens=False).ids) + 1
-    assert (got.groupby(["doc_id", "piece"]).size() == 1).all()
-    for _, b in got.groupby(["shard", "bin"]):
-        assert b.bin_length.iloc[0] == min(c for c in packing.LENGTHS if c >= b.n_tokens.sum())
+    plain.check_bins(got, {i: tk.encode(t, add_special_tokens=False).ids + [packing.END_ID] for i, t in want.items()}, packing.LENGTHS)
 
 
 def test_stages_keep_columns(spark):
-    docs = spark.read.parquet(f"{D}/documents.parquet")
+    docs = spark.read.parquet(f"{D}/documents.parquet").selectExpr("*", "1 as row_number", "'x' as score", "2.0 as kept")
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, D).columns == docs.columns, name
+        got = stage(spark, docs, D)
+        assert got.columns == docs.columns, name
         assert stage(spark, docs.where("false"), D).count() == 0, name
+    assert corpus_pipeline.pack(spark, docs.where("false"), D).count() == 0
+
+
+def test_null_and_repeated_ids(spark):
+    """Clean rows without an id stay; of equal rows of one id the dedup stages keep one; a null text is an empty one."""
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    text = next(r.text for r in docs.orderBy("doc_id").collect() if r.text and 200 < len(r.text.split()) < 400)
+    other = " ".join(f"w{k}" for k in range(300))
+    rows = spark.createDataFrame([(None, other, None, None, None)] * 2 + [(77, text, None, None, None)] * 2 + [(78, None, None, None, None), (None, None, None, None, None)], docs.schema)
+    ids = lambda df: sorted((r.doc_id or -1 for r in df.collect()))
+    assert ids(corpus_pipeline.drop_toxic(spark, rows, D)) == [-1, -1, -1, 77, 77, 78]
+    assert ids(corpus_pipeline.drop_copies(spark, rows, D)) == [-1, 77, 78]
+    assert ids(corpus_pipeline.drop_near_copies(spark, rows, D)) == [-1, 77, 78]
+    judged = corpus_pipeline.keep_quality(spark, docs.unionByName(rows), D)
+    assert judged.where("doc_id is null and text is null").count() == 0 and judged.where("doc_id = 77").count() in (2, 3)
+    assert [d for r in corpus_pipeline.pack(spark, rows, D).collect() for d in r.doc_ids].count(None) == 3
