@@ -108,33 +108,33 @@ def test_bpe(docs, texts):
         assert (bpe._exact(bpe._symbols(bpe.token[a]) + bpe._symbols(bpe.token[b])) == [a, b]) == k
 
 
-@pytest.mark.parametrize("share, block", [(1000, 10**9), (20, 10**9), (20, 4000)])
-def test_lm(docs, texts, spark, monkeypatch, share, block):
-    monkeypatch.setattr(lm, "CONTEXT_SHARE", share)
-    monkeypatch.setattr(lm, "BLOCK_CHARS", block)
+@pytest.mark.parametrize("block, part, stretch", [(10**9, 10**9, 512), (4000, 20_000, 3)])
+def test_lm(docs, texts, block, part, stretch):
     train = [lm._words(t) for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
-    c = Counter(w for t in train for w in t)
-    n, v, d = sum(c.values()), len(c), lm.DISCOUNT
-    arcs = Counter(p for t in train for p in zip([lm.END, *t], t) if c[p[0]] * share >= n)
-    total, kinds = Counter(), Counter()
-    for (a, _), k in arcs.items():
-        total[a] += k
-        kinds[a] += 1
-
-    def prob(a, w):
-        root = (c[w] - d) / n if w in c else d * v / n
-        return (max(arcs[a, w] - d, 0) + d * kinds[a] * root) / total[a] if total[a] else root
-
-    for a in (lm.END, *list(total)[:5], b"never seen"):
-        assert math.isclose(sum(prob(a, w) for w in [*c, b"never seen"]), 1, rel_tol=1e-9)
-    rows = lm.scores(docs).collect()
+    c = [Counter(), Counter(), Counter()]
+    for t in train:
+        for k in range(3):
+            c[k].update(zip(*([lm.END, *t][j + (k == 0) :] for j in range(k + 1))))
+    n, v, d = sum(c[0].values()), len(c[0]), lm.DISCOUNT
+
+    def prob(history, w):
+        """The longest history first, each drawn to the shorter."""
+        if not history:
+            return (c[0][w,] - d) / n if (w,) in c[0] else d * v / n
+        return (c[len(history)][*history, w] + lm.PULL[len(history) - 1] * prob(history[1:], w)) / (c[len(history) - 1][history] + lm.PULL[len(history) - 1])
+
+    every = [*(w for w, in c[0]), b"never seen"]
+    for history in [(lm.END,), *list(c[0])[:3], (b"never seen",), *[h for h in list(c[1])[:40:10] if h[1] != lm.END]]:
+        assert math.isclose(sum(prob(history, w) for w in every), 1, rel_tol=1e-9)
+    rows = lm.scores(docs, block_chars=block, part_chars=part, stretch=stretch).collect()
     assert len(rows) == len(texts)
     for r in rows:
         w = lm._words(texts[r.doc_id])
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(x in c for x in w), n)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum((x,) in c[0] for x in w), n)
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
-        assert math.isclose(r.base_score, sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
-        assert math.isclose(r.score, sum(math.log10(prob(a, x)) for a, x in zip([lm.END, *w], w)), rel_tol=1e-9)
+        assert math.isclose(r.base_score, sum(math.log10((c[0][x,] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
+        read = [lm.END, *w]
+        assert math.isclose(r.score, sum(math.log10(prob(tuple(read[max(0, i - 2) : i]), read[i])) for i in range(1, len(read))), rel_tol=1e-9)
 
 
 def test_lm_edges(spark):
