@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -30,10 +31,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``, set to a local folder only where unset."""
+    """Folder that driver and executors share: ``spark.checkpoint.dir``. Only a local master may do without, in a folder of its own."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="cuelake-checkpoint-")
         sc.setCheckpointDir(base)
     return base.rstrip("/")
@@ -49,4 +52,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_folder = path.rpartition("/")[0]
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again, and have the cleaner drop shuffle files of plans that are gone."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.scratch_folder)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    if tables:
+        jvm.System.gc()
