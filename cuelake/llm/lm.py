@@ -31,11 +31,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ..shipping import materialize, ship_package
+from ..shipping import discard, materialize, ship_package
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 #: Characters of text whose n-grams one part of the key space owns, about.
-PART_CHARS = 32_000_000
+PART_CHARS = 16_000_000
 DISCOUNT = 0.75
 #: Tokens' worth of the shorter history, behind one word and behind two.
 PULL = (100.0, 20.0)
@@ -112,7 +112,7 @@ class Block:
         self.pair_keys = _mix(_mix(h[a] + np.uint64(1)) ^ h[b])
         self.own1 = np.bincount(ids[self.train], minlength=len(h))
         self.own2 = np.bincount(self.pair_of[self.train], minlength=len(self.pairs))
-        self.all2 = np.bincount(self.pair_of, minlength=len(self.pairs))
+        self.held2 = np.bincount(self.pair_of[~self.train], minlength=len(self.pairs))
 
     def triples(self):
         """Distinct (pair before, word): key, pair before, pair after, own count, and whether another block may have it."""
@@ -294,29 +294,35 @@ def scores(docs: DataFrame, pull=PULL, block_chars: int = BLOCK_CHARS, part_char
             for blk, blob in zip(b.column(0).to_pylist(), b.column(1)):
                 x = Block.unpack(blob.as_py())
                 yield _rows(_ask(blk, x.h, [x.own1], parts, 0))
-                yield _rows(_ask(blk, x.pair_keys, [x.own2, x.all2], parts, 1))
+                yield _rows(_ask(blk, x.pair_keys, [x.own2, x.held2], parts, 1))
 
-    def owned(asked):
+    def fold(_, table):
+        x, got, blk = _open(table)
+        c2, held = _answered(x.pair_keys, got, 1, 2)
+        x.counts = [*_answered(x.h, got, 0), c2, (c2 + held > x.own2 + x.held2).astype(np.uint8)]
+        return pa.Table.from_batches([_rows([(blk, -1, x.pack())])])
+
+    def ask_triples(batches):
+        for b in batches:
+            for blk, blob in zip(b.column(0).to_pylist(), b.column(1)):
+                keys, _, _, own, shared = Block.unpack(blob.as_py()).triples()
+                yield _rows(_ask(blk, keys[shared], [own[shared]], parts, 0))
+
+    def owned(ask, states):
         """Owners' answers; asked parcels go to the owner of their part."""
-        return asked.groupBy("part").applyInArrow(_total, _BLOB)
+        return states.select("blk", "blob").mapInArrow(ask, _BLOB).groupBy("part").applyInArrow(_total, _BLOB)
 
     states = blocks.select("blk", F.lit(-1).alias("part"), "blob")
-    answers = materialize(owned(blocks.select("blk", "blob").mapInArrow(ask_pairs, _BLOB)), "answers")
-    mine = answers.where("blk < 0 and part % 2 = 0").select("blob")
+    answers = materialize(owned(ask_pairs, states), "answers")
+    discard()
     n = v = 0
-    for r in mine.collect():  # one row of two numbers for each part
+    for r in answers.where("blk < 0 and part % 2 = 0").select("blob").collect():  # one row of two numbers for each part
         tokens, kinds = _unpack(r["blob"])[0].tolist()
         n, v = n + tokens, v + kinds
-
-    def ask_triples(_, table):
-        x, got, blk = _open(table)
-        c2, every = _answered(x.pair_keys, got, 1, 2)
-        x.counts = [*_answered(x.h, got, 0), c2, (every > x.all2).astype(np.uint8)]
-        keys, _, _, own, shared = x.triples()
-        return pa.Table.from_batches([_rows([(blk, -1, x.pack()), *_ask(blk, keys[shared], [own[shared]], parts, 0)])])
-
-    both = materialize(states.unionByName(answers.where("blk >= 0")).groupBy("blk").applyInArrow(ask_triples, _BLOB), "pairs")
-    told = owned(both.where("part >= 0")).where("blk >= 0")
+    counted = materialize(states.unionByName(answers.where("blk >= 0")).groupBy("blk").applyInArrow(fold, _BLOB), "counted")
+    del states
+    discard(blocks, answers)
+    told = owned(ask_triples, counted).where("blk >= 0")
 
     def run(_, table):
         x, got, _ = _open(table)
@@ -344,4 +350,4 @@ def scores(docs: DataFrame, pull=PULL, block_chars: int = BLOCK_CHARS, part_char
 
     names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return both.where("part < 0").unionByName(told).groupBy("blk").applyInArrow(run, schema)
+    return counted.unionByName(told).groupBy("blk").applyInArrow(run, schema)
