@@ -57,12 +57,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(*tables: DataFrame) -> None:
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete written tables that nothing will read again, and have the cleaner drop shuffle files of plans that are gone."""
+    jvm = spark.sparkContext._jvm
     for t in tables:
-        jvm = t.sparkSession.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(t.scratch_folder)
-        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
-    if tables:
-        jvm.System.gc()
+    jvm.System.gc()
