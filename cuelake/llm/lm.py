@@ -22,7 +22,9 @@ is unknown, of score 0.
 
 from __future__ import annotations
 
+import ctypes
 import struct
+import sys
 from collections import defaultdict
 from itertools import count
 
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..shipping import discard, materialize, ship_package
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 #: Characters of text whose n-grams one part of the key space owns, about.
 PART_CHARS = 16_000_000
 DISCOUNT = 0.75
@@ -196,6 +198,8 @@ def _total(key, table):
     cuts = np.cumsum([len(k) for k in keys])[:-1]
     answers = [_pack(*(t[p] for t in total)) for p in np.split(place, cuts)]
     blks = table.column("blk").to_pylist()
+    del found, place, columns, keys, asked
+    _trim()
     mine = _pack(np.array([total[0].sum(), np.count_nonzero(total[0])], dtype=np.uint64))
     return pa.table({"blk": pa.array([*blks, -1], pa.int64()), "part": pa.array([part] * (len(blks) + 1), pa.int32()), "blob": pa.array([*answers, mine], pa.binary())})
 
@@ -209,6 +213,13 @@ def _answered(keys: np.ndarray, answers: dict[int, bytes], kind: int, n: int = 1
     return out
 
 
+def _trim() -> None:
+    """Give freed memory back to the system, since a worker stays idle beside others."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _open(table) -> tuple[Block | None, dict[int, bytes], int]:
     blk = table.column("blk")[0].as_py()
     rows = dict(zip(table.column("part").to_pylist(), table.column("blob").to_pylist()))
@@ -283,7 +294,8 @@ class Automaton:
 
 def scores(docs: DataFrame, pull=PULL, block_chars: int = BLOCK_CHARS, part_chars: int = PART_CHARS, stretch: int = STRETCH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"), held_out().alias("held_out"))
     blocks = materialize(rows.mapInArrow(lambda batches: _blocks(batches, block_chars), "blk long, n long, chars long, blob binary"), "blocks")
     chars = blocks.agg(F.sum("chars")).first()[0] or 0
@@ -300,7 +312,10 @@ def scores(docs: DataFrame, pull=PULL, block_chars: int = BLOCK_CHARS, part_char
         x, got, blk = _open(table)
         c2, held = _answered(x.pair_keys, got, 1, 2)
         x.counts = [*_answered(x.h, got, 0), c2, (c2 + held > x.own2 + x.held2).astype(np.uint8)]
-        return pa.Table.from_batches([_rows([(blk, -1, x.pack())])])
+        out = pa.Table.from_batches([_rows([(blk, -1, x.pack())])])
+        del x
+        _trim()
+        return out
 
     def ask_triples(batches):
         for b in batches:
@@ -314,14 +329,14 @@ def scores(docs: DataFrame, pull=PULL, block_chars: int = BLOCK_CHARS, part_char
 
     states = blocks.select("blk", F.lit(-1).alias("part"), "blob")
     answers = materialize(owned(ask_pairs, states), "answers")
-    discard()
+    discard(spark)
     n = v = 0
     for r in answers.where("blk < 0 and part % 2 = 0").select("blob").collect():  # one row of two numbers for each part
         tokens, kinds = _unpack(r["blob"])[0].tolist()
         n, v = n + tokens, v + kinds
     counted = materialize(states.unionByName(answers.where("blk >= 0")).groupBy("blk").applyInArrow(fold, _BLOB), "counted")
     del states
-    discard(blocks, answers)
+    discard(spark, blocks, answers)
     told = owned(ask_triples, counted).where("blk >= 0")
 
     def run(_, table):
@@ -334,6 +349,7 @@ def scores(docs: DataFrame, pull=PULL, block_chars: int = BLOCK_CHARS, part_char
             c3 = own.copy()
             (c3[shared],) = _answered(keys[shared], got, 0)
             weight = Automaton(x, n, v, triples, c3, pull).read(x, stretch)
+            del triples, keys, own, shared, c3
         else:
             weight = np.zeros(len(x.ids))
         per_text = lambda a: np.add.reduceat(a, x.starts)
@@ -346,6 +362,8 @@ def scores(docs: DataFrame, pull=PULL, block_chars: int = BLOCK_CHARS, part_char
             pa.array(per_text(base)),
             pa.array(per_text(weight)),
         )
+        del x, base, weight
+        _trim()
         return pa.table(dict(zip(names, cols)))
 
     names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
