@@ -63,5 +63,6 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
     for t in tables:
         path = jvm.org.apache.hadoop.fs.Path(t.scratch_folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    spark.range(1).write.format("noop").mode("overwrite").save()  # the session holds the plan that ran last
     gc.collect()
     jvm.System.gc()
