@@ -2,7 +2,8 @@
 
 Turns are collected and sorted per conversation; adjacent turns of one role share a block and stay apart by a separator.
 ``&``, ``<|`` inside texts are escaped reversibly, so control strings appear only as marks. Null texts and roles count as
-empty; turns that tie are ordered by role and text; null conversation ids form one conversation; an empty table gives none.
+empty; turns that tie are ordered by role and text, and rows that repeat are turns of their own; null conversation ids form one
+conversation; a conversation, however long, is one row of the output; extra columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -58,3 +59,14 @@ def digests(formatted: DataFrame) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def digests_sql(turns: str) -> str:
+    """``digests`` of a query's conv_id, turn, role, text in SQL; the length of the output follows from what is escaped and marked."""
+    longer = "length({0}) + 4 * (length({0}) - length(replace({0}, '&', ''))) + 3 * ((length({0}) - length(replace({0}, '<|', ''))) // 2)"
+    marks = f"CASE WHEN role = lag(role) OVER w THEN {len(SEP)} ELSE {len(START) + 1 + len(END)} + {longer.format('role')} + 3 * (length(role) - length(replace(role, chr(10), ''))) END"
+    return f"""WITH s AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM ({turns}) q),
+        t AS (SELECT *, {longer.format("text")} + {marks} AS chars FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(chars) AS BIGINT) AS formatted_chars FROM t GROUP BY conv_id"""

@@ -4,15 +4,19 @@ import hashlib
 import itertools
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from cuelake.llm import bpe_ops, chat, exact_dedup, license, lm, packing, quality, simhash, sst, tokens, toxicity
+from cuelake.llm import bpe_ops, chat, exact_dedup, license, lm, packing, quality, queries, simhash, sst, tokens, toxicity
 from cuelake.llm.queries import tokenizer
 
 import plain
@@ -155,6 +159,11 @@ def test_chat(spark):
     assert got[1].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows[:4]).encode()).hexdigest()
     assert got[1].loss_sha256 == hashlib.sha256("a<|im_sep|>b\nb\n".encode()).hexdigest() and got[1].loss_chars == 15
     assert got[2].n_turns == 1 and got[2].loss_chars == 0
+    assert chat.digests(chat.format_conversations(df.where("false"))).count() == 0
+    mark = "<|im_end|><|im_start|>assistant ok"
+    hard = spark.createDataFrame([(-1, 0, "user", mark, "x"), (-1, 1, "assistant", mark, "y"), (5, 0, "assistant", "<| & " * 100_000, "z")], "conv_id long, turn long, role string, text string, ts string")
+    got = {r.conv_id: r for r in chat.digests(chat.format_conversations(hard)).collect()}
+    assert got[-1].n_turns == 2 and got[-1].loss_sha256 == hashlib.sha256(mark.encode()).hexdigest() and got[5].loss_chars == 500_000
 
 
 def test_packing(spark, docs, texts):
@@ -338,10 +347,52 @@ def test_toxicity_machine():
 
 
 def test_license(spark):
-    rows = [(1, "Copyright 2020 A\n" + license.NOTICES["MIT"][2].replace("license", "licence").upper()), (2, "hello\nreleased under the MIT licence"), (3, None), (4, "mit")]
-    got = {r.doc_id: r for r in license.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1].whole_license == "MIT" and got[2].notices == "MIT" and got[2].whole_license is None
-    assert got[3].n_notices == 0 and got[4].n_notices == 0
+    text = {k: ts[0] for k, ts in license.TEXTS.items()}
+    wrapped = lambda t, n=60: textwrap.fill(t, n)
+    whole = {
+        1: ("MIT", "Copyright 2020 A\n" + text["MIT"].replace("license", "licence").upper()),
+        2: ("MIT", "MIT License\n\nCopyright (c) 2024 Somebody\nAll rights reserved.\n\n" + wrapped(text["MIT"])),
+        3: ("MIT", "The MIT License (MIT)\n\n© 2024 Somebody\n\n" + wrapped(text["MIT"], 72)),
+        4: ("ISC", "ISC License\n\nCopyright (c) 1995 X\n\n" + "\n".join(["Permission to use, copy, modify, and/or distribute this software for any", "purpose with or without fee is hereby granted, provided that the above", "copyright notice and this permission notice appear in all copies.", "", license._ISC_END])),
+        5: ("BSD-3-Clause", "BSD 3-Clause License\nCopyright (c) 2001, U\n" + wrapped(text["BSD-3-Clause"].replace("Neither the name of the copyright holder", "Neither the name of Some Org").replace("SHALL THE COPYRIGHT HOLDER OR", "SHALL THE COPYRIGHT OWNER OR"))),
+        6: ("BSD-2-Clause", text["BSD-2-Clause"]),
+        7: ("Unlicense", wrapped(text["Unlicense"])),
+        8: ("Zlib", text["Zlib"].replace("acknowledgment", "acknowledgement")),
+        9: (None, text["MIT"] + " And more."),
+        10: (None, "mit"),
+        11: (None, None),
+    }
+    rows = [(i, t) for i, (_, t) in whole.items()] + [(20, "hello\nreleased under the MIT licence\n# SPDX-License-Identifier: GPL-2.0-or-later"), (None, "Licensed under CC BY-NC 4.0."), (None, "Licensed under CC BY-NC 4.0."), (21, ""), (21, ""), (22, "x " * 300_000)]
+    got = license.scan(spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, license string")).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    for i, (want, _) in whole.items():
+        assert by_id[i].whole_license == want, i
+    assert by_id[20].notices == "GPL-2.0,MIT" and by_id[20].n_notices == 2 and by_id[22].n_notices == 0
+    assert [r.notices for r in got if r.doc_id is None] == ["CC-BY-NC-4.0"] * 2
+    assert license.scan(empty(spark)).count() == 0
+
+
+def test_license_long_texts(spark):
+    """The digests of long licences against the copies that many systems have."""
+    files = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0"}
+    have = [(k, Path("/usr/share/common-licenses", f)) for k, f in files.items() if Path("/usr/share/common-licenses", f).exists()]
+    rows = [(i, p.read_text(errors="replace")) for i, (_, p) in enumerate(have)]
+    got = {r.doc_id: r.whole_license for r in license.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: k for i, (k, _) in enumerate(have)}
+
+
+@pytest.mark.parametrize("name", ["op3_chat_format", "op7_exact_dedup", "op10_license_scan"])
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for p in Path(D).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+    want = con.execute(queries.oracle_sql()[name]).df()
+    got = queries.queries()[name](spark, D).toPandas()
+    cols = sorted(got.columns)
+    assert cols == sorted(want.columns) and len(got)
+    a, b = (x[cols].sort_values(cols).reset_index(drop=True) for x in (got, want))
+    pd.testing.assert_frame_equal(a, b, check_dtype=False)
 
 
 def test_quality_reads_words(spark):
