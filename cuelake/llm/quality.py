@@ -79,16 +79,14 @@ def score(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD,
     ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
     marked = rows.join(F.broadcast(ids), "doc_id", "left")  # at most TRUSTED_ROWS ids
-    shapes = marked.select(F.explode(shape_buckets(F.col("t"))).alias("b"), "trusted")
-    words = word_buckets(marked, "trusted").select(F.explode(F.array("u", "v")).alias("b"), "trusted")
-    counts = shapes.unionByName(words).groupBy("b").agg(F.count("*").alias("raw"), F.count("trusted").alias("good")).collect()  # at most 3 BUCKETS rows
-    table = F.lit(_weights(counts))
-    total = F.aggregate("f", F.lit(0.0), lambda a, b: a + F.get(table, b))
-    # A text has as many shapes as words between spaces.
-    out = base_columns(rows).withColumn("f", shape_buckets(F.col("t"))).withColumn("shape_llr", F.coalesce(total / F.nullif("n_words", F.lit(0)), F.lit(0.0))).drop("t", "f")
-    per_row = word_buckets(rows, "row").groupBy("row").agg(F.avg((F.get(table, F.col("u")) + F.get(table, F.col("v"))) / 2).alias("word_llr"))
-    out = out.join(per_row, "row", "left")
-    out = out.withColumn("llr", F.col("shape_llr") + F.coalesce("word_llr", F.lit(0.0))).drop("shape_llr", "word_llr")
+    counts = grams(marked, "trusted").groupBy("b").agg(F.count("*").alias("raw"), F.count("trusted").alias("good")).collect()  # at most 3 BUCKETS rows
+    table = docs.sparkSession.createDataFrame(list(enumerate(_weights(counts).tolist())), "b int, x double")
+    weighed = grams(rows, "row").join(F.broadcast(table), "b")  # 3 BUCKETS rows
+    shape, word = F.col("b") < BUCKETS, F.col("b") >= BUCKETS
+    llr = weighed.groupBy("row").agg((F.sum(F.when(shape, F.col("x"))) / F.count_if(shape)).alias("shapes"), (F.sum(F.when(word, F.col("x"))) / F.count_if(word)).alias("words"))
+    # Words and word pairs are as many as each other, so their mean is that of both kinds.
+    llr = llr.select("row", (F.coalesce("shapes", F.lit(0.0)) + F.coalesce("words", F.lit(0.0))).alias("llr"))
+    out = base_columns(rows).drop("t").join(llr, "row", "left").withColumn("llr", F.coalesce("llr", F.lit(0.0)))
     # Written, for a filter on kept would be pushed below the projections and repeat the array expressions many times over.
     out = materialize(out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)), "quality")
     return out.withColumnRenamed("row", row) if row else out.drop("row")
@@ -109,11 +107,15 @@ def _weights(counts) -> np.ndarray:
     return (np.log((good + prior) / (good.sum(axis=1, keepdims=True) + BUCKETS)) - np.log(p)).ravel()
 
 
-def word_buckets(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per word (run of letters, marks and digits, in lower case) of ``t``: its bucket ``u``, and ``v`` of it and the next word.
+def grams(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per n-gram of ``t``: its bucket ``b``. Exploded rather than transformed, for lambdas are interpreted per element."""
+    shapes = rows.select(*keep, F.explode(shape_buckets(F.col("t"))).alias("b"))
+    words = word_buckets(rows, *keep).select(*keep, F.explode(F.array("u", "v")).alias("b"))
+    return shapes.unionByName(words)
 
-    Exploded rather than transformed, for lambdas are interpreted per element.
-    """
+
+def word_buckets(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per word (run of letters, marks and digits, in lower case) of ``t``: its bucket ``u``, and ``v`` of it and the next word."""
     w = F.array_remove(F.split(F.lower("t"), "[^\\p{L}\\p{M}\\p{N}]+"), "")
     pairs = rows.select(*keep, w.alias("w")).select(*keep, F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.size("w")).alias("n"))).alias("p"))
     bucket = lambda h, kind: (F.pmod(h, F.lit(BUCKETS)) + kind * BUCKETS).cast("int")
