@@ -1,70 +1,196 @@
-"""Optimal caption segmentation: shortest path over word intervals, one track per group."""
+"""Optimal caption segmentation: candidates as native expressions, a shortest path over them for each track, then repair.
+
+Candidates (every run of words that may be one caption, with its cost) need only windows over a track. The path, padding and
+merging depend on order and run grouped by track, so a track must fit in one task. Null words are no words; a track that
+cannot be cut within the limits is reported as infeasible by ``track_status``; ties go to the earlier start.
+"""
 
 from __future__ import annotations
 
+from collections import deque
+from dataclasses import dataclass
+from typing import NamedTuple
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..functions import lexical
 from ..shipping import ship_package
 
-SCHEMA = "track_id long, idx int, word_start int, word_end int, start double, end double, chars int, cps double, cost double, text string"
+SCHEMA = "track_id long, idx int, word_start int, word_end int, start double, end double, duration double, planned double, chars int, cps double, cost double, text string"
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Seconds, characters, and characters a second of one caption."""
 
+    min_dur: float = 5 / 6
+    max_dur: float = 7.0
+    max_chars: int = 42
+    max_cps: float = 20.0
 
-def segment_words(tokens: list[str], start: list[float], end: list[float], min_dur=5 / 6, max_dur=7.0, max_chars=42, max_cps=20.0) -> list[tuple] | None:
-    """Partition of the words of least total cost, ties to the earlier start; None if there is none.
 
-    An interval costs 1, plus its boundary (sentence end -3.4, clause end -1.3, long pause -0.9, medium -0.35, tight
-    +0.25; after the last word -1 at a sentence end, else +0.2), plus soft penalties near the limits of speed and length.
+def borders(words: DataFrame) -> DataFrame:
+    """track_id, pos, word, start, end (seconds), next_start, and ``border``: the cost of ending a caption behind the word."""
+    w = W.partitionBy("track_id").orderBy("pos")
+    rows = words.where("word is not null and start_ms is not null and end_ms is not null").select("track_id", "pos", "word", (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"))
+    rows = rows.withColumns({"next_word": F.lead("word").over(w), "next_start": F.lead("start").over(w), "before": F.coalesce(F.lag("end").over(w), F.lit(0.0))})
+    return rows.withColumn("border", lexical.border_cost(F.col("word"), F.col("next_word"), F.col("next_start") - F.col("end"))).drop("next_word")
+
+
+def candidates(words: DataFrame, lim: Limits = Limits()) -> DataFrame:
+    """Runs of words that may be one caption: track_id, i, j (positions), start, end, planned, text, chars, cps, cost.
+
+    A word has at least one character, so a run has at most ``max_chars`` words; runs too long or too wide go before their text is made.
     """
-    n = len(tokens)
-    best, back = [0.0] + [float("inf")] * n, [None] * (n + 1)
-    border = []
-    for j in range(n):
-        done = tokens[j].rstrip()[-1:] in ".!?"
-        if j == n - 1:
-            border.append(-1.0 if done else 0.2)
-            continue
-        gap = start[j + 1] - end[j]
-        pause = -0.9 if gap >= 0.8 else -0.35 if gap >= 0.3 else 0.25 if gap <= 0.08 else 0.0
-        border.append(pause + (-3.4 if done else -1.3 if tokens[j][-1:] in ",;:" else 0.0))
-    for i in range(n):
-        if best[i] == float("inf"):
-            continue
-        chars = -1
-        for j in range(i, n):
-            chars += len(tokens[j]) + 1
-            raw = end[j] - start[i]
-            if raw > max_dur + 1e-6 or chars > max_chars:
-                break
-            left = max(0.0, start[i] - (end[i - 1] if i else 0.0))
-            right = max(0.0, start[j + 1] - end[j]) if j + 1 < n else min_dur
-            show = min(max_dur, raw + left + right + 0.18)
-            need = max(raw, chars / max_cps)
-            if raw <= 0 or need > show + 1e-6:
-                continue
-            eff = max(need, min_dur) if max(need, min_dur) <= show + 1e-6 else need
-            cps = chars / eff
-            cost = 1 + border[j] + 1.4 * max(0, cps - 0.88 * max_cps) + 0.08 * max(0, chars - 0.9 * max_chars) + 0.9 * max(0, min_dur + 0.18 - eff)
-            if best[i] + cost < best[j + 1]:
-                best[j + 1], back[j + 1] = best[i] + cost, (i, chars, cps, cost)
-    if n and back[n] is None:
-        return None
+    w = W.partitionBy("track_id").orderBy("pos")
+    ahead = F.collect_list(F.struct("pos", "word", "end", "next_start", "border", F.length("word").alias("n"))).over(w.rowsBetween(0, lim.max_chars - 1))
+    rows = borders(words).select("track_id", F.col("pos").alias("i"), "start", "before", ahead.alias("ahead"))
+    rows = rows.withColumn("ahead", F.filter("ahead", lambda x: x["end"] - F.col("start") <= lim.max_dur + 1e-6))
+    rows = rows.select("*", F.posexplode("ahead").alias("k", "w")).select("track_id", "i", "start", "before", "ahead", "k", F.col("w.pos").alias("j"), F.col("w.end").alias("end"), F.col("w.next_start").alias("next_start"), F.col("w.border").alias("border"))
+    raw = F.col("end") - F.col("start")
+    rows = rows.where((raw > 0) & (raw <= lim.max_dur))
+    least = F.aggregate(F.slice("ahead", 1, F.col("k") + 1), F.lit(0), lambda a, x: a + x["n"])
+    # Tidying may take a space before punctuation, never a character of a word.
+    rows = rows.where(least <= lim.max_chars)
+    rows = rows.withColumn("text", lexical.clean(F.array_join(F.transform(F.slice("ahead", 1, F.col("k") + 1), lambda x: F.trim(x["word"])), " "))).drop("ahead")
+    room = F.greatest(F.lit(0.0), F.col("start") - F.col("before")) + F.greatest(F.lit(0.0), F.coalesce(F.col("next_start"), F.col("end") + lim.min_dur) - F.col("end")) + 0.18
+    rows = rows.withColumns({"chars": F.length("text"), "shown": F.least(F.lit(lim.max_dur), raw + room)})
+    need = F.greatest(raw, F.col("chars") / lim.max_cps)
+    rows = rows.where((F.col("chars") <= lim.max_chars) & (F.col("chars") / lim.max_cps <= F.col("shown") + 1e-6))
+    full = F.greatest(need, F.lit(lim.min_dur))
+    rows = rows.withColumn("planned", F.when(full > F.col("shown") + 1e-6, need).otherwise(full))
+    rows = rows.withColumn("cps", F.col("chars") / F.col("planned")).where(F.col("cps") <= lim.max_cps + 1e-6)
+    over = lambda x, limit, weight: F.greatest(F.lit(0.0), x - limit) * weight
+    cost = 1.0 + F.col("border") + over(F.col("cps"), lim.max_cps * 0.88, 1.4) + over(F.col("chars"), lim.max_chars * 0.9, 0.08) + over(lim.min_dur + 0.18 - F.col("planned"), 0.0, 0.9)
+    return rows.select("track_id", "i", "j", "start", "end", "planned", "text", "chars", "cps", cost.alias("cost"))
+
+
+class Segment(NamedTuple):
+    """Words ``i`` to ``j`` shown from ``start`` to ``end``, for ``planned`` seconds if there is room."""
+
+    i: int
+    j: int
+    start: float
+    end: float
+    planned: float
+    cost: float
+    text: str
+    cps: float
+
+
+def cheapest(n: int, runs) -> list[Segment] | None:
+    """The partition of ``n`` words into runs of least total cost, or None; ``runs`` come by first word, then last."""
+    best, last = [0.0] + [float("inf")] * n, [None] * (n + 1)
+    for r in runs:
+        if best[r.i] + r.cost < best[r.j + 1]:
+            best[r.j + 1], last[r.j + 1] = best[r.i] + r.cost, r
     out, at = [], n
     while at:
-        i, chars, cps, cost = back[at]
-        out.append((i, at - 1, start[i], end[at - 1], chars, cps, round(cost, 4), " ".join(tokens[i:at])))
-        at = i
+        if last[at] is None:
+            return None
+        out.append(last[at])
+        at = last[at].i
     return out[::-1]
 
 
-def dp_segments(words: DataFrame) -> DataFrame:
-    """Segments of every track; a track without a feasible partition gives no row."""
+def padded(segs: list[Segment], lim: Limits, sweeps: int = 4) -> list[Segment]:
+    """Segments shorter than planned grow into the gaps beside them: half to the left, the rest to the right, then what is left over to the left."""
+    segs = list(segs)
+    for _ in range(sweeps):
+        grown = False
+        for k, s in enumerate(segs):
+            need = max(lim.min_dur, s.planned) - (s.end - s.start)
+            if need <= 1e-6:
+                continue
+            left = max(0.0, s.start - (segs[k - 1].end if k else 0.0))
+            right = max(0.0, segs[k + 1].start - s.end) if k + 1 < len(segs) else max(need, 0.5)
+            ahead = min(need - min(need / 2, left), right)
+            back = min(need - ahead, left)
+            if ahead > 0 or back > 0:
+                segs[k], grown = s._replace(start=max(0.0, s.start - back), end=s.end + ahead), True
+        if not grown:
+            break
+    return segs
+
+
+def rendered(segs: list[Segment], tokens: list[str]) -> list[Segment]:
+    """Texts made anew from the words, with the speed they are shown at."""
+    out = []
+    for s in segs:
+        text = lexical.render(tokens[s.i : s.j + 1]) or s.text
+        out.append(s._replace(text=text, cps=round(len(text) / max(1e-6, s.end - s.start), 3)))
+    return out
+
+
+def merged(segs: list[Segment], tokens: list[str], lim: Limits) -> list[Segment]:
+    """Segments that break a limit join the next one, else the one before, where the whole keeps all limits."""
+
+    def broken(s: Segment) -> bool:
+        dur = s.end - s.start
+        return dur <= 0 or dur < lim.min_dur - 1e-3 or len(s.text) / dur > lim.max_cps + 1e-3 or len(s.text) > lim.max_chars
+
+    def whole(a: Segment, b: Segment) -> Segment | None:
+        dur, text = b.end - a.start, lexical.render(tokens[a.i : b.j + 1])
+        fits = 0 < dur <= lim.max_dur + 1e-6 and 0 < len(text) <= lim.max_chars
+        if not fits or len(text) / max(dur, 1e-6) > lim.max_cps + 1e-3:
+            return None
+        return Segment(a.i, b.j, a.start, b.end, max(a.planned, b.planned), a.cost + b.cost, text, len(text) / max(dur, 1e-6))
+
+    if len(segs) < 2:
+        return list(segs)
+    done, todo = [], deque(segs)
+    while todo:
+        s = todo.popleft()
+        if broken(s):
+            if todo and (m := whole(s, todo[0])):
+                todo[0] = m
+                continue
+            if done and (m := whole(done[-1], s)):
+                done.pop()
+                todo.appendleft(m)
+                continue
+        done.append(s)
+    return done
+
+
+def finished(segs: list[Segment], tokens: list[str], lim: Limits) -> list[Segment]:
+    """Padding, texts, merging, padding and texts again."""
+    segs = rendered(padded(segs, lim), tokens)
+    segs = merged(segs, tokens, lim)
+    return rendered(padded(segs, lim), tokens)
+
+
+def dp_segments(words: DataFrame, lim: Limits = Limits()) -> DataFrame:
+    """Finished segments of every track; a track without a feasible partition gives no row, see ``track_status``."""
     ship_package(words.sparkSession)
+    usable = words.where("word is not null and start_ms is not null and end_ms is not null")
+    numbered = usable.withColumn("pos", F.row_number().over(W.partitionBy("track_id").orderBy("pos")) - 1)
+
+    def run(runs: pd.DataFrame, track: pd.DataFrame) -> pd.DataFrame:
+        tokens = track.sort_values("pos").word.tolist()
+        runs = runs.sort_values(["i", "j"])
+        path = cheapest(len(tokens), map(Segment, runs.i, runs.j, runs.start, runs.end, runs.planned, runs.cost, runs.text, runs.cps)) or []
+        path = finished([s._replace(cost=round(s.cost, 4)) for s in path], tokens, lim)
+        rows = [(int(track.track_id.iloc[0]), k, s.i, s.j, s.start, s.end, s.end - s.start, s.planned, len(s.text), s.cps, s.cost, s.text) for k, s in enumerate(path, 1)]
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+
+    return candidates(numbered, lim).groupBy("track_id").cogroup(numbered.select("track_id", "pos", "word").groupBy("track_id")).applyInPandas(run, SCHEMA)
+
+
+def track_status(words: DataFrame, segments: DataFrame) -> DataFrame:
+    """Per track: number of words and segments, seconds from the first word to the last, and ``ok`` or ``infeasible``."""
+    w = words.groupBy("track_id").agg(F.count("*").alias("word_count"), F.min_by("start_ms", "pos").alias("first"), F.max_by("end_ms", "pos").alias("last"))
+    s = segments.groupBy("track_id").agg(F.count("*").alias("n"))
+    return w.join(s, "track_id", "left").select("track_id", "word_count", F.coalesce("n", F.lit(0)).alias("segment_count"), F.bround((F.col("last") - F.col("first")) / 1000, 3).alias("total_duration"), F.when(F.col("n") > 0, "ok").otherwise("infeasible").alias("status"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        found = segment_words(pdf.word.tolist(), (pdf.start_ms / 1000).tolist(), (pdf.end_ms / 1000).tolist()) or []
-        rows = [(int(pdf.track_id.iloc[0]), k + 1, *s) for k, s in enumerate(found)]
-        return pd.DataFrame(rows, columns=["track_id", "idx", "word_start", "word_end", "start", "end", "chars", "cps", "cost", "text"])
 
-    return words.groupBy("track_id").applyInPandas(run, SCHEMA)
+def reports(segments: DataFrame, status: DataFrame, issues: DataFrame, lim: Limits = Limits()) -> DataFrame:
+    """track_id and one JSON document: constraints, stats, validation, segments in order."""
+    segs = segments.groupBy("track_id").agg(F.sort_array(F.collect_list(F.struct("idx", "start", "end", "duration", "planned", "chars", "cps", "text", "word_start", "word_end", "cost"))).alias("segments"))
+    found = issues.groupBy("track_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "rule", "issue"))), lambda x: x["issue"]).alias("issues"))
+    rows = status.join(segs, "track_id", "left").join(found, "track_id", "left")
+    problems = F.coalesce("issues", F.array().cast("array<string>"))
+    limits = F.struct(F.lit(lim.min_dur).alias("min_duration"), F.lit(lim.max_dur).alias("max_duration"), F.lit(lim.max_chars).alias("max_chars"), F.lit(lim.max_cps).alias("max_cps"), *[F.lit(True).alias(k) for k in ("single_line", "no_double_spaces", "no_en_em_dash")])
+    document = F.struct(limits.alias("constraints"), F.struct("word_count", "segment_count", "total_duration").alias("stats"), F.struct((F.size(problems) == 0).alias("passed"), problems.alias("issues")).alias("validation"), "segments")
+    return rows.select("track_id", F.to_json(document).alias("report"))

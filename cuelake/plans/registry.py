@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import replies, text as tx
+from ..functions import lexical, replies, text as tx
 from ..operators import resegment, results, segment, timing, track
 from ..sources import tables
 
@@ -91,6 +91,65 @@ def _keyed_items(s, d):
     return got.select("id", F.inline("items")).select("id", "cue_id", "revised_zh", "confidence")
 
 
+def _in(x, *lists):
+    return f"{x} IN ({', '.join(repr(w) if chr(39) not in w else chr(39) + w.replace(chr(39), chr(39) * 2) + chr(39) for ws in lists for w in ws)})"
+
+
+def _ends(x, ends):
+    return f"regexp_matches({x}, '(?:{'|'.join(ends)})$')"
+
+
+_L = lexical
+_NOUN = f"(NOT {_in('n', _L.CONJUNCTIONS, _L.PREPOSITIONS, _L.AUXILIARIES, _L.NEGATIONS)} AND ({_ends('n', _L.NOUN_ENDS)} OR length(n) >= 4 AND NOT {_in('n', _L.SUBJECTS)}))"
+_VERB = f"({_in('n', _L.VERBS, _L.AUXILIARIES)} OR {_ends('n', _L.VERB_ENDS)})"
+_SUM = [
+    "CASE WHEN gap >= 0.8 THEN -0.9 WHEN gap >= 0.3 THEN -0.35 WHEN gap <= 0.08 THEN 0.25 ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.PAUSES, _L.FILLERS)} THEN -1.3 ELSE 0 END",
+    f"CASE WHEN {_in('n', _L.PAUSES, _L.FILLERS)} THEN -1.9 ELSE 0 END",
+    "CASE WHEN regexp_matches(word, '[.!?]+$') THEN -3.4 WHEN regexp_matches(word, '[,;:]+$') THEN -1.3 ELSE 0 END",
+    f"CASE WHEN {_in('n', _L.CONJUNCTIONS)} THEN -1.45 ELSE 0 END",
+    f"CASE WHEN {_in('n', _L.PREPOSITIONS)} THEN -1.0 ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.DETERMINERS)} THEN CASE WHEN {_NOUN} THEN 5.6 ELSE 4.6 END ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.SUBJECTS)} AND {_VERB} THEN 5.0 ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.AUXILIARIES)} AND {_VERB} THEN 4.5 ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.NEGATIONS)} AND {_VERB} THEN 4.2 ELSE 0 END",
+    f"CASE WHEN p = 'to' AND {_VERB} THEN 4.0 ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.PREPOSITIONS)} AND {_NOUN} THEN 4.2 ELSE 0 END",
+    f"CASE WHEN {_ends('p', _L.ADJECTIVE_ENDS)} AND {_NOUN} THEN 3.4 ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.CONJUNCTIONS)} AND n != '' AND NOT regexp_matches(word, '[.!?]+$') THEN 2.7 ELSE 0 END",
+    f"CASE WHEN {_in('p', _L.VERBS)} AND {_in('n', _L.PARTICLES)} THEN 4.2 ELSE 0 END",
+    r"CASE WHEN regexp_matches(word, '^\p{Lu}') AND regexp_matches(nw, '^\p{Lu}') THEN 2.8 ELSE 0 END",
+]
+_BARE = r"lower(regexp_replace({0}, '^[^\p{{L}}\p{{M}}\p{{N}}_'']+|[^\p{{L}}\p{{M}}\p{{N}}_'']+$', '', 'g'))"
+_BORDER = f"""b0 AS (SELECT track_id, pos, word, start_ms / 1000.0::DOUBLE AS s, (start_ms + dur) / 1000.0::DOUBLE AS e FROM words),
+b1 AS (SELECT *, lead(word) OVER v AS nw, lead(s) OVER v AS ns, coalesce(lag(e) OVER v, 0) AS bf FROM b0 WINDOW v AS (PARTITION BY track_id ORDER BY pos)),
+b2 AS (SELECT *, {_BARE.format("word")} AS p, {_BARE.format("nw")} AS n, ns - e AS gap FROM b1),
+b AS (SELECT track_id, pos, word, s, e, ns, bf, CAST(CASE WHEN nw IS NULL THEN CASE WHEN regexp_matches(word, '[.!?]+$') THEN -1.0 ELSE 0.2 END ELSE {" + ".join(_SUM)} END AS DOUBLE) AS border FROM b2)"""
+_CLEAN = "t"
+for _a, _b in _L.TIDY:
+    _CLEAN = "regexp_replace({}, '{}', '{}', 'g')".format(_CLEAN, _a.replace("'", "''"), _b.replace("'", "''").replace("$1", "\\1"))
+_CANDIDATES = f"""c0 AS (SELECT x.track_id, x.pos AS i, y.pos AS j, x.s, x.bf, y.e, y.ns, y.border, (SELECT string_agg(z.word, ' ' ORDER BY z.pos) FROM b z WHERE z.track_id = x.track_id AND z.pos BETWEEN x.pos AND y.pos) AS t
+FROM b x JOIN b y ON x.track_id = y.track_id AND y.pos BETWEEN x.pos AND x.pos + 41 AND y.e - x.s > 0 AND y.e - x.s <= 7),
+c1 AS (SELECT * EXCLUDE t, {_CLEAN} AS text, e - s AS raw, least(7.0, e - s + greatest(0, s - bf) + greatest(0, coalesce(ns, e + 5.0::DOUBLE / 6) - e) + 0.18::DOUBLE) AS shown FROM c0),
+c2 AS (SELECT *, length(text) AS chars, greatest(raw, length(text) / 20.0::DOUBLE) AS need FROM c1 WHERE length(text) <= 42 AND length(text) / 20.0::DOUBLE <= shown + 1e-6),
+c3 AS (SELECT *, CASE WHEN greatest(need, 5.0::DOUBLE / 6) > shown + 1e-6 THEN need ELSE greatest(need, 5.0::DOUBLE / 6) END AS planned FROM c2)"""
+
+
+def _candidates(s, d):
+    c = segment.candidates(tables.words(s, d))
+    return c.select("track_id", "i", "j", "text", "chars", F.bround("planned", 3).alias("planned"), F.bround(F.col("cost") + 0.00003, 3).alias("cost"))
+
+
+def _finished(s, d):
+    return segment.dp_segments(tables.words(s, d))
+
+
+def _segment_report(s, d):
+    words, segs = tables.words(s, d), _finished(s, d)
+    ms = segs.select("track_id", (F.col("idx") - 1).cast("long").alias("pos"), F.col("idx").cast("long").alias("cue_id"), F.bround(F.col("start") * 1000).cast("long").alias("start_ms"), F.bround(F.col("end") * 1000).cast("long").alias("end_ms"), "text")
+    return segment.reports(segs, segment.track_status(words, segs), timing.validation_report(ms))
+
+
 _QUERIES = {
     "words_from_text": (tables.words, f"WITH {_WORDS} SELECT track_id, pos, word, start_ms, start_ms + dur AS end_ms FROM words"),
     "cues_from_words": (tables.cues, f"WITH {_WORDS} SELECT * FROM cues"),
@@ -123,7 +182,10 @@ _QUERIES = {
     "merge_results": (_cue(_merged), None),
     "validation_report": (_cue(lambda c: timing.validation_report(c, max_chars=30, max_cps=14.0)), f"WITH {_WORDS}, s AS (SELECT *, (end_ms - start_ms) / 1000.0::DOUBLE AS sec, length(text) AS n, lag(end_ms) OVER (PARTITION BY track_id ORDER BY pos) AS before FROM cues), i AS (SELECT track_id, pos, 1 AS rule, printf('duration %.3fs out of [0.833, 7.000]', sec) AS issue FROM s WHERE sec < 5.0::DOUBLE / 6 - 0.001 OR sec > 7.001 UNION ALL SELECT track_id, pos, 2, 'contains newline (must be single-line)' FROM s WHERE contains(text, chr(10)) UNION ALL SELECT track_id, pos, 3, printf('chars %d > 30', n) FROM s WHERE n > 30 UNION ALL SELECT track_id, pos, 4, printf('cps %.2f > 14.00', n / sec) FROM s WHERE n / sec > 14.001::DOUBLE UNION ALL SELECT track_id, pos, 5, 'contains double spaces' FROM s WHERE contains(text, '  ') UNION ALL SELECT track_id, pos, 6, 'contains en/em dash' FROM s WHERE regexp_matches(text, '[\u2013\u2014]') UNION ALL SELECT track_id, pos, 7, 'overlaps previous cue' FROM s WHERE start_ms < before) SELECT * FROM i"),
     "resegment": (_cue(resegment.resegment), None),
-    "dp_segments": (lambda s, d: segment.dp_segments(tables.words(s, d)), None),
+    "dp_segments": (_finished, None),
+    "segment_report": (_segment_report, None),
+    "boundary_cost": (lambda s, d: segment.borders(tables.words(s, d)).select("track_id", "pos", F.bround("border", 4).alias("border")), f"WITH {_WORDS}, {_BORDER} SELECT track_id, pos, round_even(border, 4) AS border FROM b"),
+    "dp_candidates": (_candidates, f"WITH {_WORDS}, {_BORDER}, {_CANDIDATES} SELECT track_id, i, j, text, chars, round_even(planned, 3) AS planned, round_even(0.00003::DOUBLE + 1.0::DOUBLE + border + greatest(0, chars / planned - 17.6::DOUBLE) * 1.4::DOUBLE + greatest(0, chars - 37.8::DOUBLE) * 0.08::DOUBLE + greatest(0, 5.0::DOUBLE / 6 + 0.18::DOUBLE - planned) * 0.9::DOUBLE, 3) AS cost FROM c3 WHERE chars / planned <= 20.000001::DOUBLE"),
 }
 
 
