@@ -21,6 +21,7 @@ SCHEMA = f"id long, items array<{ITEM}>"
 # Names under which a text, or the list of items, may come.
 ALIASES = ("translation", "current_zh", "zh", "ZH")
 LISTS = ("items", "translations", "results", "cues")
+#: Fixed value: a list item that names a cue.
 _BULLET = re.compile(r"[-*]\s*(?:[`*]*(?:cue\s*)?)?(\d+)[`*]*\s*[:：]\s*(.+)", re.IGNORECASE)
 
 

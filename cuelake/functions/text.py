@@ -68,3 +68,19 @@ def collapse_repeats(c: Column) -> Column:
     passes = F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.length(flat) / 3)))
     again = F.aggregate(passes, flat, lambda t, _: F.when(t.rlike(REPEAT), F.regexp_replace(t, REPEAT, "$1$2")).otherwise(t))
     return F.when(flat.rlike(REPEAT), again).otherwise(flat)
+
+
+def tidy(c: Column) -> Column:
+    """A finished line: no trailing full stop, white space flattened, no immediate repeats."""
+    return collapse_repeats(strip_period(c))
+
+
+def marked(c: Column) -> Column:
+    """Whether a line ends with the mark of low confidence."""
+    return c.rlike("(?U)\\*[\\s*]*\\z")
+
+
+def mark(c: Column, low: Column) -> Column:
+    """The line without its mark, and with one again if it is ``low`` and not empty."""
+    core = marker_core(c)
+    return F.when(low & (core != ""), F.concat(core, F.lit("*"))).otherwise(core)

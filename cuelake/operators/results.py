@@ -7,7 +7,8 @@ than the caption before them ends. Cues without a result keep their source text.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, replace
 from typing import NamedTuple
 
 import pandas as pd
@@ -33,6 +34,27 @@ class Joins:
     least_ms: int = 220
     snap: int = 60
 
+    @classmethod
+    def checked(cls, **given) -> "Joins":
+        """Values below the smallest that make sense are raised to it."""
+        v = cls(**given)
+        return replace(v, gap=max(0, v.gap), chars=max(8, v.chars), duration=max(500, v.duration), chain=max(1, v.chain), least_ms=max(80, v.least_ms), snap=max(0, v.snap))
+
+
+class Counts(NamedTuple):
+    """What happened to the cues of a track; a cue without result is missing, one whose result cannot be read is invalid."""
+
+    revised: int = 0
+    low_confidence: int = 0
+    anchored: int = 0
+    overlaps: int = 0
+    joined: int = 0
+    blocked: int = 0
+    missing: int = 0
+    invalid: int = 0
+    total: int = 0
+    output: int = 0
+
 
 class Row(NamedTuple):
     cue_id: int
@@ -68,8 +90,10 @@ def grown(last: Caption, row: Row, lim: Joins) -> Caption | None:
     return Caption(last.cue_id, last.start, end, text, joined(last.source, row.source), last.cues + 1)
 
 
-def fold(rows: list[Row], lim: Joins) -> list[Caption]:
+def fold(rows: list[Row], lim: Joins, seen: Counter | None = None) -> list[Caption]:
+    """Captions of a track; ``seen`` counts cues joined, joins that a limit blocked, and starts moved out of an overlap."""
     out: list[Caption] = []
+    seen = Counter() if seen is None else seen
     for r in rows:
         start, end, text = r.start, r.end, r.text
         if out:
@@ -79,8 +103,11 @@ def fold(rows: list[Row], lim: Joins) -> list[Caption]:
             if r.join and 0 <= start - last.end <= lim.gap:
                 if (more := grown(last, r, lim)) is not None:
                     out[-1] = more
+                    seen["joined"] += 1
                     continue
+                seen["blocked"] += 1
                 text = re.sub(r"\A[，,]\s*", "", text)
+            seen["overlaps"] += start < last.end
             start = max(start, last.end)
             if end <= start:
                 end = max(start + 1, min(r.cue_end, start + max(1, lim.least_ms)))
@@ -88,24 +115,48 @@ def fold(rows: list[Row], lim: Joins) -> list[Caption]:
     return out
 
 
+def _prepared(cues: DataFrame, results: DataFrame, lim: Joins) -> DataFrame:
+    """Cues with their results and anchored times. A column ``valid`` of the results, if there, says whether one could be read."""
+    found = results.withColumn("valid", F.col("valid") if "valid" in results.columns else F.lit(True)).select("track_id", "cue_id", "revised_zh", "confidence", "join_with_prev", "has_anchor", "anchor_start_ratio", "anchor_end_ratio", "valid")
+    rows = cues.select("track_id", "pos", "cue_id", "start_ms", "end_ms", F.col("end_ms").alias("cue_end"), "text").join(found, ["track_id", "cue_id"], "left")
+    good = F.coalesce("valid", F.lit(False))
+    rows = rows.withColumns({"missing": F.col("valid").isNull(), "invalid": ~F.coalesce("valid", F.lit(True)), "revised_zh": F.when(good, F.col("revised_zh"))})
+    rows = rows.withColumns({"low": good & F.coalesce(F.col("confidence") < lim.min_confidence, F.lit(False)), "joins": good & F.coalesce("join_with_prev", F.lit(False)), "has_anchor": good & F.coalesce("has_anchor", F.lit(False))})
+    return anchor_spans(rows, lim.least_ms, lim.anchors, keep=("pos", "cue_end", "text", "revised_zh", "low", "joins", "missing", "invalid"))
+
+
+def _given(track: pd.DataFrame) -> list[Row]:
+    out = []
+    for c in track.sort_values("pos").itertuples():
+        source = c.text or ""
+        revised = tidy(c.revised_zh.strip()) if isinstance(c.revised_zh, str) else ""
+        text = revised + "*" * bool(c.low) if revised else source
+        out.append(Row(int(c.cue_id), int(c.start_ms), int(c.end_ms), int(c.cue_end), text, source, bool(c.joins)))
+    return out
+
+
 def merge_results(cues: DataFrame, results: DataFrame, lim: Joins | None = None) -> DataFrame:
     """Captions of every track. ``results`` has one row per (track_id, cue_id): revised_zh, confidence, join_with_prev and anchors."""
     ship_package(cues.sparkSession)
     lim = lim or Joins()
-    found = results.select("track_id", "cue_id", "revised_zh", "confidence", "join_with_prev", "has_anchor", "anchor_start_ratio", "anchor_end_ratio")
-    rows = cues.select("track_id", "pos", "cue_id", "start_ms", "end_ms", F.col("end_ms").alias("cue_end"), "text").join(found, ["track_id", "cue_id"], "left")
-    low = F.coalesce(F.col("confidence") < lim.min_confidence, F.lit(False))
-    rows = rows.withColumn("low", low).withColumn("joins", F.coalesce("join_with_prev", F.lit(False)))
-    rows = anchor_spans(rows, lim.least_ms, lim.anchors, keep=("pos", "cue_end", "text", "revised_zh", "low", "joins"))
 
     def run(track: pd.DataFrame) -> pd.DataFrame:
-        track, given = track.sort_values("pos"), []
-        for c in track.itertuples():
-            source = c.text or ""
-            revised = (c.revised_zh or "").strip() if isinstance(c.revised_zh, str) else ""
-            text = tidy(revised) + "*" * bool(c.low) if revised else source
-            given.append(Row(int(c.cue_id), int(c.start_ms), int(c.end_ms), int(c.cue_end), text, source, bool(c.joins)))
         track_id = track.track_id.iloc[0]
-        return pd.DataFrame([(track_id, i, *c[:5]) for i, c in enumerate(fold(given, lim))], columns=["track_id", "pos", "cue_id", "start_ms", "end_ms", "text", "source"])
+        return pd.DataFrame([(track_id, i, *c[:5]) for i, c in enumerate(fold(_given(track), lim))], columns=["track_id", "pos", "cue_id", "start_ms", "end_ms", "text", "source"])
+
+    return _prepared(cues, results, lim).groupBy("track_id").applyInPandas(run, SCHEMA)
+
+
+def merge_counts(cues: DataFrame, results: DataFrame, lim: Joins | None = None) -> DataFrame:
+    """``Counts`` of every track."""
+    ship_package(cues.sparkSession)
+    lim = lim or Joins()
+
+    def run(track: pd.DataFrame) -> pd.DataFrame:
+        seen, rows = Counter(), _given(track)
+        out = fold(rows, lim, seen)
+        revised = sum(isinstance(x, str) and bool(x.strip()) for x in track.revised_zh)
+        c = Counts(revised, int(track.low.sum()), int(track.anchored.sum()), seen["overlaps"], seen["joined"], seen["blocked"], int(track.missing.sum()), int(track.invalid.sum()), len(rows), len(out))
+        return pd.DataFrame([(track.track_id.iloc[0], *c)], columns=["track_id", *Counts._fields])
 
-    return rows.groupBy("track_id").applyInPandas(run, SCHEMA)
+    return _prepared(cues, results, lim).groupBy("track_id").applyInPandas(run, "track_id long, " + ", ".join(f"{f} long" for f in Counts._fields))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import lexical, replies, text as tx
-from ..operators import resegment, results, segment, timing, track
-from ..sources import tables
+from ..functions import lexical, prompts, replies, text as tx
+from ..operators import resegment, results, run, segment, timing, track
+from ..sources import files, tables
 
 _WORDS = r"""w0 AS (SELECT conv_id AS track_id, turn, unnest(string_split_regex(text, '\s+')) AS word, generate_subscripts(string_split_regex(text, '\s+'), 1) AS i FROM conversations),
 w1 AS (SELECT track_id, row_number() OVER (PARTITION BY track_id ORDER BY turn, i) - 1 AS pos, word FROM w0 WHERE word != ''),
@@ -150,6 +150,120 @@ def _segment_report(s, d):
     return segment.reports(segs, segment.track_status(words, segs), timing.validation_report(ms))
 
 
+def _listed(s, d):
+    q = F.col("l_quantity").cast("int")
+    rows = s.read.parquet(f"{d}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("frame_id"), F.col("l_linenumber").alias("det"), F.when(F.col("l_returnflag") == "R", "person").otherwise("car").alias("cls"), (F.col("l_quantity") / 100).alias("conf"),
+        F.lit(0).alias("x1"), F.lit(10).alias("y1"), (q * 10).alias("x2"), (10 + q * 8).alias("y2"),
+    )
+    line = lambda x: F.concat(x["cls"], F.lit(" "), F.format_string("%.2f", x["conf"]), F.lit(" "), F.format_string("%.4f", x["area_ratio"]))
+    return track.detection_list(rows, 854 * 480).select("frame_id", F.array_join(F.transform("detections", line), "; ").alias("detections"))
+
+
+def _serial(c):
+    return run.serial_run(c, _results(c).where("revised_zh != ''").select("track_id", "cue_id", "revised_zh"), how=run.Serial(6, 2))
+
+
+def _history(c):
+    h = run.history_lookahead(c, _results(c), 6, 2)
+    text = lambda x: F.array_join(F.transform(x, lambda e: e.cast("string")), ",")
+    return h.select("track_id", "win", text("history").alias("history"), text("lookahead").alias("lookahead"))
+
+
+def _images(c):
+    order = F.when(F.col("slot") == "start", 0).when(F.col("slot") == "mid", 1).otherwise(2)
+    return run.window_images(c, track.frame_targets(c).where((F.col("cue_id") + order) % 5 != 0), 6, 2)
+
+
+def _shifted(c):
+    return run.source_of(c, c.where("pos % 3 != 0").select("track_id", (F.col("pos") + 1).alias("pos"), (F.col("cue_id") + 2).alias("cue_id"), "text"))
+
+
+def _neighbours(c):
+    w = track.by_track()
+    near = {f"{k}_{n}": f(n).over(w) for k, f in (("prev", F.lag), ("next", F.lead)) for n in ("cue_id", "start_ms", "end_ms", "text")}
+    return c.withColumns(near)
+
+
+def _cue_prompts(c):
+    c = _neighbours(c)
+    line = lambda label, k: prompts.context_line(label, *(F.col(k + n) for n in ("cue_id", "start_ms", "end_ms", "text")))
+    context = F.concat_ws("\n", line("prev", "prev_"), line("current", ""), line("next", "next_"))
+    text = prompts.cue_prompt(F.col("cue_id"), F.col("start_ms"), F.col("end_ms"), F.col("text"), F.lit(""), context, F.lit("mid"))
+    return c.select("track_id", "cue_id", context.alias("context"), F.length(text).alias("n"))
+
+
+def _refine_prompts(c):
+    c = _neighbours(c)
+    line = lambda label, k: prompts.refine_line(label, *(F.col(k + n) for n in ("cue_id", "start_ms", "end_ms", "text", "text")))
+    return c.select("track_id", "cue_id", prompts.refine_prompt(F.col("cue_id"), line("prev", "prev_"), line("current", ""), line("next", "next_")).alias("prompt"))
+
+
+def _window_prompts(c):
+    w = track.serial_windows(c, 6, 2).join(c, ["track_id", "pos"])
+    line = prompts.window_line(F.col("cue_id"), F.col("start_ms"), F.col("end_ms"), F.col("text"), F.lit(""))
+    g = w.groupBy("track_id", "win").agg(F.sort_array(F.collect_list(F.struct("pos", "cue_id", line.alias("line")))).alias("x"))
+    of = lambda f: F.transform("x", lambda e: e[f])
+    none = F.array().cast("array<string>")
+    return g.select("track_id", "win", prompts.window_prompt(none, of("line"), none, none, of("cue_id")).alias("prompt"))
+
+
+def _aligned(s, d):
+    w = tables.words(s, d)
+    one = F.struct("word", (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"))
+    docs = w.groupBy("track_id", (F.col("pos") % 7).alias("seg")).agg(F.collect_list(one).alias("words")).groupBy("track_id").agg(F.collect_list(F.struct("words")).alias("segments"))
+    return files.aligned_words(docs.select("track_id", F.to_json(F.struct(F.lit("en").alias("language"), "segments")).alias("doc")))
+
+
+def _event_lines(s, d):
+    said = F.to_json(F.struct(F.lit("text").alias("type"), F.struct(F.lit("text").alias("type"), F.concat(F.lit("[{\"cue_id\": "), F.col("id").cast("string"), F.lit(", \"zh\": \""), F.md5(F.col("props").cast("binary")), F.lit("\"}]")).alias("text")).alias("part")))
+    rows = _event_replies(s, d).select("id", F.concat(F.lit("{\"type\": \"step\"}\n"), said, F.lit("\nnoise")).alias("payload"))
+    return replies.reply_items(rows, events=True).select("id", F.inline("items")).select("id", "cue_id", "revised_zh")
+
+
+def _points(c):
+    pts = track.frame_targets(c).select("track_id", (F.col("t_ms") / 1000).alias("t_sec"))
+    return track.frame_indices(track.sessions(pts, "track_id", "t_sec", 1.0), 10.0, 500)
+
+
+def _classes(s, d):
+    w = tables.words(s, d).select("track_id", "pos", lexical.bare(F.col("word")).alias("n"))
+    return w.select("track_id", "pos", "n", lexical.verb_like(F.col("n")).alias("verb"), lexical.adjective_like(F.col("n")).alias("adjective"), lexical.noun_like(F.col("n")).alias("noun"))
+
+
+def _defaults(c):
+    r = _results(c).withColumn("earlier", F.concat(F.lit("was "), F.col("cue_id").cast("string"))).withColumn("join_with_prev", F.when(F.col("cue_id") % 2 == 0, True)).withColumn("confidence", F.when(F.col("cue_id") % 3 != 0, F.col("confidence")))
+    return track.result_defaults(r)
+
+
+def _padded_text(c):
+    return F.concat(F.lit("  ( "), c, F.lit(" ) ,  it 's \u2014 so  ."))
+
+
+_SPAN = f"'[' || {_TS.format('{0}start_ms')} || ' --> ' || {_TS.format('{0}end_ms')} || ']'"
+_CLIP = "CASE WHEN length({0}) > 220 THEN rtrim(substr({0}, 1, 217)) || '...' ELSE {0} END"
+
+
+def _span(k=""):
+    return _SPAN.replace("{0}", k)
+
+
+def _refine_sql(label, k):
+    t = _CLIP.format(f"{k}text")
+    return f"CASE WHEN {k}cue_id IS NULL THEN '- {label}: <none>' ELSE '- {label} cue ' || {k}cue_id || ' ' || {_span(k)} || chr(10) || '  EN: ' || {t} || chr(10) || '  ZH: ' || {t} END"
+
+
+def _context_sql(label, k):
+    return f"CASE WHEN {k}cue_id IS NOT NULL THEN '- {label} cue ' || {k}cue_id || ' ' || {_span(k)} || ': ' || {k}text END"
+
+
+_NEAR = "nb AS (SELECT *, " + ", ".join(f"{f}({n}) OVER v AS {k}_{n}" for k, f in (("prev", "lag"), ("next", "lead")) for n in ("cue_id", "start_ms", "end_ms", "text")) + " FROM cues WINDOW v AS (PARTITION BY track_id ORDER BY pos))"
+_WINDOWS = "i AS (SELECT *, unnest(range(greatest(0, CAST(floor((pos - 6) / 4.0) AS BIGINT) + 1), pos // 4 + 1)) AS win FROM cues)"
+_HAVE = "hv AS (SELECT track_id, cue_id, revised_zh FROM r WHERE revised_zh != '')"
+_RAN = f"{_WINDOWS}, {_HAVE}, nw AS (SELECT track_id, win, bool_or(revised_zh IS NULL) AS runs FROM i LEFT JOIN hv USING (track_id, cue_id) GROUP BY track_id, win), st AS (SELECT track_id, cue_id, any_value(text) AS text, bool_or(runs) AS ok FROM i JOIN nw USING (track_id, win) GROUP BY track_id, cue_id)"
+_POINTS = "p AS (SELECT *, CASE WHEN end_ms - start_ms < 400 THEN 30 ELSE 100 END AS pad FROM cues), q AS (SELECT *, least(end_ms, start_ms + pad) AS t0, greatest(start_ms, end_ms - pad) AS t2, (start_ms + end_ms) / 2 AS m FROM p), t AS (SELECT track_id, cue_id, slot, CAST(CASE WHEN t0 > t2 OR slot = 'mid' THEN m WHEN slot = 'start' THEN t0 ELSE t2 END AS DOUBLE) / 1000 AS t_sec FROM q CROSS JOIN (VALUES ('start'), ('mid'), ('end')) s(slot))"
+_SESSIONS = f"{_POINTS}, x AS (SELECT *, CASE WHEN t_sec - lag(t_sec) OVER (PARTITION BY track_id ORDER BY t_sec) > 1.0::DOUBLE THEN 1 ELSE 0 END AS new FROM t), y AS (SELECT *, CAST(sum(new) OVER (PARTITION BY track_id ORDER BY t_sec RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session FROM x)"
+
 _QUERIES = {
     "words_from_text": (tables.words, f"WITH {_WORDS} SELECT track_id, pos, word, start_ms, start_ms + dur AS end_ms FROM words"),
     "cues_from_words": (tables.cues, f"WITH {_WORDS} SELECT * FROM cues"),
@@ -167,7 +281,7 @@ _QUERIES = {
     "frame_sessions": (_cue(_frame_sessions), f"WITH {_WORDS}, p AS (SELECT *, CASE WHEN end_ms - start_ms < 400 THEN 30 ELSE 100 END AS pad FROM cues), q AS (SELECT *, least(end_ms, start_ms + pad) AS t0, greatest(start_ms, end_ms - pad) AS t2, (start_ms + end_ms) / 2 AS m FROM p), t AS (SELECT track_id, CAST(CASE WHEN t0 > t2 OR slot = 'mid' THEN m WHEN slot = 'start' THEN t0 ELSE t2 END AS DOUBLE) / 1000 AS t_sec FROM q CROSS JOIN (VALUES ('start'), ('mid'), ('end')) s(slot)), x AS (SELECT *, CASE WHEN t_sec - lag(t_sec) OVER (PARTITION BY track_id ORDER BY t_sec) > 1.0::DOUBLE THEN 1 ELSE 0 END AS new FROM t), y AS (SELECT *, CAST(sum(new) OVER (PARTITION BY track_id ORDER BY t_sec RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session FROM x) SELECT track_id, session, min(t_sec) AS first_sec, max(t_sec) AS last_sec, count(*) AS n FROM y GROUP BY track_id, session"),
     "person_area_filter": (lambda s, d: track.person_area(_detections(s, d), 854 * 480, 0.35), f"WITH {_DETECTIONS} SELECT frame_id, count(*) FILTER (person) AS person_count, count(*) FILTER (NOT person) AS non_person_count, round(coalesce(sum(area) FILTER (person), 0) / 409920.0, 4) AS ratio, coalesce(sum(area) FILTER (person), 0) / 409920.0 > 0.35 AS discard FROM d GROUP BY frame_id"),
     "mock_run": (_cue(track.mock_results), f"WITH {_WORDS} SELECT track_id, cue_id, '[MOCK] ' || text AS revised_zh, 1.0::DOUBLE AS confidence, false AS join_with_prev FROM cues"),
-    "result_left_join": (_cue(lambda c: track.merge_left(c, _results(c), 0.5)), f"WITH {_WORDS}, {_RESULTS} SELECT c.track_id, c.cue_id, CASE WHEN trim(revised_zh) != '' THEN revised_zh || CASE WHEN confidence < 0.5 THEN '*' ELSE '' END ELSE text END AS text, revised_zh IS NULL AS missing FROM cues c LEFT JOIN r USING (track_id, cue_id)"),
+    "result_left_join": (_cue(lambda c: track.merge_left(c, _results(c).withColumn("revised_zh", F.when(F.col("revised_zh") != "", F.concat(F.lit(" "), F.md5("revised_zh"), F.lit(" x.. "))).otherwise("")), 0.5)), f"WITH {_WORDS}, {_RESULTS} SELECT c.track_id, c.cue_id, CASE WHEN trim(revised_zh) != '' THEN md5(revised_zh) || ' x' || CASE WHEN confidence < 0.5 THEN '*' ELSE '' END ELSE text END AS text, revised_zh IS NULL AS missing FROM cues c LEFT JOIN r USING (track_id, cue_id)"),
     "resume_anti": (_cue(lambda c: c.join(_results(c).where("revised_zh != ''"), ["track_id", "cue_id"], "left_anti").select("track_id", "cue_id")), f"WITH {_WORDS}, {_RESULTS} SELECT track_id, cue_id FROM cues c WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.track_id = c.track_id AND r.cue_id = c.cue_id AND revised_zh != '')"),
     "srt_render": (_cue(tables.render_srt), f"WITH {_WORDS} SELECT track_id, string_agg((pos + 1) || chr(10) || {_TS.format('start_ms')} || ' --> ' || {_TS.format('end_ms')} || chr(10) || text || chr(10), chr(10) ORDER BY pos) AS content FROM cues GROUP BY track_id"),
     "srt_roundtrip": (_cue(lambda c: tables.parse_srt(tables.render_srt(c))), f"WITH {_WORDS} SELECT track_id, pos, cue_id, start_ms, end_ms, text FROM cues"),
@@ -182,6 +296,39 @@ _QUERIES = {
     "merge_results": (_cue(_merged), None),
     "validation_report": (_cue(lambda c: timing.validation_report(c, max_chars=30, max_cps=14.0)), f"WITH {_WORDS}, s AS (SELECT *, (end_ms - start_ms) / 1000.0::DOUBLE AS sec, length(text) AS n, lag(end_ms) OVER (PARTITION BY track_id ORDER BY pos) AS before FROM cues), i AS (SELECT track_id, pos, 1 AS rule, printf('duration %.3fs out of [0.833, 7.000]', sec) AS issue FROM s WHERE sec < 5.0::DOUBLE / 6 - 0.001 OR sec > 7.001 UNION ALL SELECT track_id, pos, 2, 'contains newline (must be single-line)' FROM s WHERE contains(text, chr(10)) UNION ALL SELECT track_id, pos, 3, printf('chars %d > 30', n) FROM s WHERE n > 30 UNION ALL SELECT track_id, pos, 4, printf('cps %.2f > 14.00', n / sec) FROM s WHERE n / sec > 14.001::DOUBLE UNION ALL SELECT track_id, pos, 5, 'contains double spaces' FROM s WHERE contains(text, '  ') UNION ALL SELECT track_id, pos, 6, 'contains en/em dash' FROM s WHERE regexp_matches(text, '[\u2013\u2014]') UNION ALL SELECT track_id, pos, 7, 'overlaps previous cue' FROM s WHERE start_ms < before) SELECT * FROM i"),
     "resegment": (_cue(resegment.resegment), None),
+    "split_long": (_cue(lambda c: resegment.split_long(c, resegment.Limits.checked(most=20))), None),
+    "resegment_counts": (_cue(resegment.resegment_counts), None),
+    "merge_counts": (_cue(lambda c: results.merge_counts(c, _results(c).join(_anchored(c).select("track_id", "cue_id", (F.col("pos") % 3 == 1).alias("join_with_prev"), "has_anchor", "anchor_start_ratio", "anchor_end_ratio"), ["track_id", "cue_id"]), results.Joins.checked(min_confidence=0.5))), None),
+    "serial_run": (_cue(lambda c: _serial(c).withColumns({"confidence": F.coalesce("confidence", F.lit(0.0)), "join_with_prev": F.coalesce("join_with_prev", F.lit(False))})), f"WITH {_WORDS}, {_RESULTS}, {_RAN} SELECT track_id, cue_id, CASE WHEN ok THEN '[MOCK] ' || text ELSE revised_zh END AS revised_zh, CASE WHEN ok THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence, false AS join_with_prev, CASE WHEN ok THEN 'ok' ELSE 'skipped' END AS status FROM st LEFT JOIN hv USING (track_id, cue_id)"),
+    "status_counts": (_cue(lambda c: run.status_counts(_serial(c))), f"WITH {_WORDS}, {_RESULTS}, {_RAN} SELECT track_id, count(*) FILTER (ok) AS ok, 0::BIGINT AS fail, count(*) FILTER (NOT ok) AS skipped, count(*) AS total FROM st GROUP BY track_id"),
+    "cue_run": (_cue(run.cue_run), f"WITH {_WORDS} SELECT track_id, cue_id, '[MOCK] ' || text AS revised_zh, 1.0::DOUBLE AS confidence, false AS join_with_prev, 'ok' AS status FROM cues"),
+    "history_lookahead": (_cue(_history), f"WITH {_WORDS}, {_RESULTS}, {_HAVE}, s AS (SELECT track_id, pos, pos // 4 AS win FROM cues WHERE pos % 4 = 0) SELECT track_id, win, coalesce((SELECT string_agg(cue_id, ',' ORDER BY cue_id) FROM (SELECT h.cue_id FROM hv h WHERE h.track_id = s.track_id AND h.cue_id <= s.pos ORDER BY h.cue_id DESC LIMIT 6)), '') AS history, coalesce((SELECT string_agg(c.cue_id, ',' ORDER BY c.pos) FROM cues c WHERE c.track_id = s.track_id AND c.pos BETWEEN s.pos + 6 AND s.pos + 7), '') AS lookahead FROM s"),
+    "window_images": (_cue(_images), f"WITH {_WORDS}, {_WINDOWS}, g AS (SELECT track_id, win, printf('%06d/', cue_id) || slot AS im FROM i CROSS JOIN (VALUES ('start', 0), ('mid', 1), ('end', 2)) s(slot, o) WHERE (cue_id + o) % 5 != 0) SELECT track_id, win, string_agg(DISTINCT im, ',' ORDER BY im) AS images FROM g GROUP BY track_id, win"),
+    "prepare_counts": (_cue(lambda c: run.prepare_counts(c, 5, 60, 20)), f"WITH {_WORDS}, g AS (SELECT track_id, cue_id BETWEEN 5 AND 60 AND end_ms > start_ms AS good FROM cues) SELECT track_id, count(*) AS total, least(20, count(*) FILTER (good)) AS prepared, 0::BIGINT AS skipped FROM g GROUP BY track_id"),
+    "refine_counts": (_cue(lambda c: run.refine(c, c, start_id=5, end_id=60).select("track_id", "processed", "failed", "updated_current", "updated_prev", "out_of_range").distinct()), f"WITH {_WORDS} SELECT track_id, count(*) FILTER (cue_id BETWEEN 5 AND 60) AS processed, 0::BIGINT AS failed, 0::BIGINT AS updated_current, 0::BIGINT AS updated_prev, count(*) FILTER (cue_id NOT BETWEEN 5 AND 60) AS out_of_range FROM cues GROUP BY track_id"),
+    "refine_run": (_cue(lambda c: run.refine(c, c).select("track_id", "pos", "cue_id", "text")), None),
+    "source_lookup": (_cue(_shifted), f"WITH {_WORDS}, s AS (SELECT track_id, pos + 1 AS pos, cue_id + 2 AS cue_id, text FROM cues WHERE pos % 3 != 0) SELECT c.track_id, c.pos, c.cue_id, coalesce(a.text, b.text, '') AS source FROM cues c LEFT JOIN s a ON a.track_id = c.track_id AND a.cue_id = c.cue_id LEFT JOIN s b ON b.track_id = c.track_id AND b.pos = c.pos"),
+    "result_defaults": (_cue(_defaults), f"WITH {_WORDS}, {_RESULTS} SELECT track_id, cue_id, CASE WHEN revised_zh = '' THEN 'was ' || cue_id ELSE revised_zh END AS revised_zh, CASE WHEN cue_id % 3 = 0 THEN 0.5::DOUBLE ELSE confidence::DOUBLE END AS confidence, cue_id % 2 = 0 AS join_with_prev, 'ok' AS status FROM r"),
+    "cue_prompts": (_cue(_cue_prompts), f"WITH {_WORDS}, {_NEAR}, z AS (SELECT track_id, cue_id, start_ms, end_ms, text, concat_ws(chr(10), {_context_sql('prev', 'prev_')}, {_context_sql('current', '')}, {_context_sql('next', 'next_')}) AS context FROM nb) SELECT track_id, cue_id, context, length(concat_ws(chr(10), 'Revise the Chinese subtitle of one cue; times stay as they are.', 'One frame (mid) comes with this cue.', 'cue_id: ' || cue_id, 'time: ' || {_TS.format('start_ms')} || ' --> ' || {_TS.format('end_ms')}, 'source: ' || text, 'current: ', 'context:', context, 'Keep names in English. Answer with one JSON object of the given schema.')) AS n FROM z"),
+    "refine_prompts": (_cue(_refine_prompts), f"WITH {_WORDS}, {_NEAR} SELECT track_id, cue_id, concat_ws(chr(10), 'Refine the flow between cues; the focus is cue ' || cue_id || '.', {_refine_sql('prev', 'prev_')}, {_refine_sql('current', '')}, {_refine_sql('next', 'next_')}, 'The next cue must not change. Answer with one JSON object of the given schema.') AS prompt FROM nb"),
+    "window_prompts": (_cue(_window_prompts), f"WITH {_WORDS}, {_WINDOWS} SELECT track_id, win, concat_ws(chr(10), 'Translate the cues of this window together.', 'history:', '- <none>', 'window:', string_agg('- cue ' || cue_id || ' ' || {_span()} || chr(10) || '  EN: ' || {_CLIP.format('text')} || chr(10) || '  current_zh: ', chr(10) ORDER BY pos), 'next, not to be answered:', '- <none>', 'images, in this order:', '- <none>', 'Answer with one JSON item for each of: [' || string_agg(cue_id, ', ' ORDER BY pos) || ']') AS prompt FROM i GROUP BY track_id, win"),
+    "detection_report": (_listed, "SELECT l_orderkey AS frame_id, string_agg(CASE WHEN l_returnflag = 'R' THEN 'person' ELSE 'car' END || ' ' || printf('%.2f', l_quantity / 100) || ' ' || printf('%.4f', round_even(CAST(trunc(l_quantity) AS INT) * 10 * CAST(trunc(l_quantity) AS INT) * 8 / 409920.0::DOUBLE, 4)), '; ' ORDER BY l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'person' ELSE 'car' END, l_quantity) AS detections FROM lineitem GROUP BY l_orderkey"),
+    "frame_totals": (lambda s, d: track.frame_totals(track.person_area(_detections(s, d), 854 * 480, 0.35), 0.35), f"WITH {_DETECTIONS}, v AS (SELECT frame_id, coalesce(sum(area) FILTER (person), 0) / 409920.0 > 0.35 AS discard FROM d GROUP BY frame_id) SELECT count(*) AS total, count(*) FILTER (NOT discard) AS kept, count(*) FILTER (discard) AS discarded, 0.35::DOUBLE AS threshold FROM v"),
+    "split_frames": (lambda s, d: track.split_frames(_detections(s, d).select("frame_id").distinct(), track.person_area(_detections(s, d), 854 * 480, 0.35)), f"WITH {_DETECTIONS} SELECT frame_id, coalesce(sum(area) FILTER (person), 0) / 409920.0 > 0.35 AS skipped FROM d GROUP BY frame_id"),
+    "missing_frames": (_cue(lambda c: track.missing_frames(track.frame_targets(c), track.frame_targets(c).where("(cue_id + length(slot)) % 2 = 0")).select("track_id", "cue_id", "slot")), f"WITH {_WORDS} SELECT track_id, cue_id, slot FROM cues CROSS JOIN (VALUES ('start'), ('mid'), ('end')) s(slot) WHERE (cue_id + length(slot)) % 2 != 0"),
+    "frame_targets_by_mode": (_cue(lambda c: track.frame_targets(c.withColumn("mode", F.when(F.col("cue_id") % 3 == 0, "none").when(F.col("cue_id") % 3 == 1, "mid").otherwise("three"))).select("track_id", "cue_id", "slot")), f"WITH {_WORDS} SELECT track_id, cue_id, slot FROM cues CROSS JOIN (VALUES ('start'), ('mid'), ('end')) s(slot) WHERE cue_id % 3 = 2 OR cue_id % 3 = 1 AND slot = 'mid'"),
+    "frame_indices": (_cue(_points), f"WITH {_WORDS}, {_SESSIONS}, k AS (SELECT *, greatest(0.0::DOUBLE, min(t_sec) OVER (PARTITION BY track_id, session) - 1.0::DOUBLE) AS seek FROM y) SELECT track_id, session, least(499, greatest(0, CAST(round_even((t_sec - seek) * 10.0::DOUBLE, 0) AS BIGINT))) AS frame, count(*) AS n FROM k GROUP BY ALL"),
+    "punctuation_blocks": (lambda s, d: track.punctuation_blocks(tables.words(s, d)), rf"WITH {_WORDS}, x AS (SELECT track_id, pos, word, regexp_replace(word, '^[^\p{{L}}\p{{M}}\p{{N}}_'']+|[^\p{{L}}\p{{M}}\p{{N}}_'']+$', '', 'g') AS b FROM words) SELECT track_id, pos // 180 AS block, count(*) AS n_words, string_agg(CASE WHEN b != '' THEN b ELSE word END, ' ' ORDER BY pos) AS text FROM x GROUP BY track_id, pos // 180"),
+    "punctuation_applied": (lambda s, d: track.punctuated(tables.words(s, d).select("track_id", "pos", "word"), track.punctuation_blocks(tables.words(s, d)).select("track_id", "block", F.when(F.col("block") % 2 == 0, F.regexp_replace("text", "\\S+", "$0!")).otherwise(F.concat("text", F.lit(" more"))).alias("text"))), rf"WITH {_WORDS}, x AS (SELECT track_id, pos, word, regexp_replace(word, '^[^\p{{L}}\p{{M}}\p{{N}}_'']+|[^\p{{L}}\p{{M}}\p{{N}}_'']+$', '', 'g') AS b FROM words) SELECT track_id, pos, CASE WHEN pos // 180 % 2 = 1 THEN word WHEN b != '' THEN b || '!' ELSE word || '!' END AS word FROM x"),
+    "aligned_words": (_aligned, f"WITH {_WORDS} SELECT track_id, pos, word, start_ms / 1000.0::DOUBLE AS start, (start_ms + dur) / 1000.0::DOUBLE AS end FROM words"),
+    "word_classes": (_classes, f"WITH {_WORDS}, x AS (SELECT track_id, pos, {_BARE.format('word')} AS n FROM words) SELECT track_id, pos, n, {_VERB} AS verb, {_ends('n', _L.ADJECTIVE_ENDS)} AS adjective, {_NOUN} AS noun FROM x"),
+    "clean_text": (_cue(lambda c: c.select("track_id", "pos", lexical.clean(_padded_text(F.col("text"))).alias("cleaned"))), f"WITH {_WORDS}, x AS (SELECT track_id, pos, '  ( ' || text || ' ) ,  it ''s \u2014 so  .' AS t FROM cues) SELECT track_id, pos, {_CLEAN} AS cleaned FROM x"),
+    "join_text": (_cue(lambda c: c.select("track_id", "pos", tx.join_text(F.col("text"), F.coalesce(F.lead("text").over(track.by_track()), F.lit(""))).alias("joined"))), f"WITH {_WORDS}, x AS (SELECT track_id, pos, text AS a, coalesce(lead(text) OVER (PARTITION BY track_id ORDER BY pos), '') AS b FROM cues) SELECT track_id, pos, CASE WHEN b != '' AND regexp_matches(a, '[A-Za-z0-9]$') AND regexp_matches(b, '^[A-Za-z0-9]') THEN a || ' ' || b ELSE a || b END AS joined FROM x"),
+    "srt_timestamp": (_cue(lambda c: c.select("track_id", "pos", tx.seconds_to_ts(F.col("start_ms") / 1000 + 0.0003).alias("ts"))), f"WITH {_WORDS} SELECT track_id, pos, {_TS.format('start_ms')} AS ts FROM cues"),
+    "mark_low": (_cue(lambda c: c.select("track_id", "pos", tx.mark(F.concat("text", F.lit(" * *")), F.col("pos") % 2 == 0).alias("line"), tx.marked(F.concat("text", F.lit("* "))).alias("was"))), f"WITH {_WORDS} SELECT track_id, pos, text || CASE WHEN pos % 2 = 0 THEN '*' ELSE '' END AS line, true AS was FROM cues"),
+    "srt_seconds": (_cue(lambda c: files.render_seconds(c.select("track_id", F.col("pos").alias("idx"), (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"), "text"))), f"WITH {_WORDS} SELECT track_id, string_agg((pos + 1) || chr(10) || {_TS.format('start_ms')} || ' --> ' || {_TS.format('end_ms')} || chr(10) || text || chr(10) || chr(10), '' ORDER BY pos) AS srt, string_agg(text, chr(10) ORDER BY pos) || chr(10) AS txt FROM cues GROUP BY track_id"),
+    "task_metas": (_cue(lambda c: files.task_metas(c).select("track_id", "cue_id", F.get_json_object("meta", "$.start").alias("start"), F.get_json_object("meta", "$.src_text").alias("src_text"))), f"WITH {_WORDS} SELECT track_id, cue_id, {_TS.format('start_ms')} AS start, text AS src_text FROM cues"),
+    "ndjson_items": (_event_lines, "SELECT event_id AS id, CAST(event_id AS VARCHAR) AS cue_id, md5(props) AS revised_zh FROM events"),
     "dp_segments": (_finished, None),
     "segment_report": (_segment_report, None),
     "boundary_cost": (lambda s, d: segment.borders(tables.words(s, d)).select("track_id", "pos", F.bround("border", 4).alias("border")), f"WITH {_WORDS}, {_BORDER} SELECT track_id, pos, round_even(border, 4) AS border FROM b"),

@@ -1 +1 @@
-
+"""Running tracks as streams."""
