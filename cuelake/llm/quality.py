@@ -80,7 +80,9 @@ def score(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD,
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
     marked = rows.join(F.broadcast(ids), "doc_id", "left")  # at most TRUSTED_ROWS ids
     counts = grams(marked, "trusted").groupBy("b").agg(F.count("*").alias("raw"), F.count("trusted").alias("good")).collect()  # at most 3 BUCKETS rows
-    table = docs.sparkSession.createDataFrame(list(enumerate(_weights(counts).tolist())), "b int, x double")
+    # Made and written by the JVM alone, so that no worker is started and no later plan holds the literal.
+    places = docs.sparkSession.range(0, 3 * BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b"))
+    table = materialize(places.select("b", F.get(F.lit(_weights(counts)), F.col("b")).alias("x")), "weights")
     weighed = grams(rows, "row").join(F.broadcast(table), "b")  # 3 BUCKETS rows
     shape, word = F.col("b") < BUCKETS, F.col("b") >= BUCKETS
     llr = weighed.groupBy("row").agg((F.sum(F.when(shape, F.col("x"))) / F.count_if(shape)).alias("shapes"), (F.sum(F.when(word, F.col("x"))) / F.count_if(word)).alias("words"))
