@@ -11,8 +11,6 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-import numpy as np
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..shipping import materialize
@@ -79,10 +77,8 @@ def score(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD,
     ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
     marked = rows.join(F.broadcast(ids), "doc_id", "left")  # at most TRUSTED_ROWS ids
-    counts = grams(marked, "trusted").groupBy("b").agg(F.count("*").alias("raw"), F.count("trusted").alias("good")).collect()  # at most 3 BUCKETS rows
-    # Made and written by the JVM alone, so that no worker is started and no later plan holds the literal.
-    places = docs.sparkSession.range(0, 3 * BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b"))
-    table = materialize(places.select("b", F.get(F.lit(_weights(counts)), F.col("b")).alias("x")), "weights")
+    counts = grams(marked, "trusted").groupBy("b").agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))
+    table = materialize(_weights(docs.sparkSession, materialize(counts, "counts")), "weights")
     weighed = grams(rows, "row").join(F.broadcast(table), "b")  # 3 BUCKETS rows
     shape, word = F.col("b") < BUCKETS, F.col("b") >= BUCKETS
     llr = weighed.groupBy("row").agg((F.sum(F.when(shape, F.col("x"))) / F.count_if(shape)).alias("shapes"), (F.sum(F.when(word, F.col("x"))) / F.count_if(word)).alias("words"))
@@ -94,19 +90,19 @@ def score(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD,
     return out.withColumnRenamed("row", row) if row else out.drop("row")
 
 
-def _weights(counts) -> np.ndarray:
-    """log p_target/p_raw of each bucket: shapes, words, word pairs, ``BUCKETS`` of each kind.
+def _weights(spark, counts: DataFrame) -> DataFrame:
+    """(b, x): log p_target/p_raw of each bucket: shapes, words, word pairs, ``BUCKETS`` of each kind.
 
     Shapes have one count added on both sides. The target of words is smoothed towards the raw corpus instead, so that a word
     that no trusted row has weighs against a text also where the trusted sample is small.
     """
-    raw, good = np.zeros(3 * BUCKETS), np.zeros(3 * BUCKETS)
-    for r in counts:
-        raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
-    raw, good = raw.reshape(3, BUCKETS), good.reshape(3, BUCKETS)
-    p = (raw + 1) / (raw.sum(axis=1, keepdims=True) + BUCKETS)
-    prior = np.concatenate([np.ones((1, BUCKETS)), BUCKETS * p[1:]])
-    return (np.log((good + prior) / (good.sum(axis=1, keepdims=True) + BUCKETS)) - np.log(p)).ravel()
+    every = spark.range(0, 3 * BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left")
+    every = every.select("b", F.floor(F.col("b") / BUCKETS).alias("kind"), *[F.coalesce(n, F.lit(0)).alias(n) for n in ("raw", "good")])
+    total = every.groupBy("kind").agg(F.sum("raw").alias("raw_total"), F.sum("good").alias("good_total"))  # three rows
+    p = (F.col("raw") + 1) / (F.col("raw_total") + BUCKETS)
+    prior = F.when(F.col("kind") == 0, 1.0).otherwise(BUCKETS * p)
+    x = F.log((F.col("good") + prior) / (F.col("good_total") + BUCKETS)) - F.log(p)
+    return every.join(F.broadcast(total), "kind").select("b", x.alias("x"))
 
 
 def grams(rows: DataFrame, *keep: str) -> DataFrame:
