@@ -23,7 +23,7 @@ SYMBOLS = "#*$%&|<>"
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    return F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")
 
 
 def base_columns(rows: DataFrame) -> DataFrame:
@@ -107,22 +107,25 @@ def _weights(spark, counts: DataFrame) -> DataFrame:
 
 def grams(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per n-gram of ``t``: its bucket ``b``. Exploded rather than transformed, for lambdas are interpreted per element."""
-    shapes = rows.select(*keep, F.explode(shape_buckets(F.col("t"))).alias("b"))
+    shapes = shape_buckets(rows, *keep).select(*keep, "b")
     words = word_buckets(rows, *keep).select(*keep, F.explode(F.array("u", "v")).alias("b"))
     return shapes.unionByName(words)
 
 
 def word_buckets(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per word (run of letters, marks and digits, in lower case) of ``t``: its bucket ``u``, and ``v`` of it and the next word."""
-    w = F.array_remove(F.split(F.lower("t"), "[^\\p{L}\\p{M}\\p{N}]+"), "")
-    pairs = rows.select(*keep, w.alias("w")).select(*keep, F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.size("w")).alias("n"))).alias("p"))
+    pairs = _pairs(rows, F.array_remove(F.split(F.lower("t"), "[^\\p{L}\\p{M}\\p{N}]+"), ""), *keep)
     bucket = lambda h, kind: (F.pmod(h, F.lit(BUCKETS)) + kind * BUCKETS).cast("int")
     x, n = F.col("p.x"), F.coalesce("p.n", F.lit("</s>"))
     return pairs.select(*keep, bucket(F.xxhash64(x), 1).alias("u"), bucket(F.xxhash64(x, n), 2).alias("v"))
 
 
-def shape_buckets(text: Column) -> Column:
-    """Bucket of each symbol of a text: a word's shape (runs of letters and digits folded) hashed with the next word's shape."""
-    w = words_of(F.regexp_replace(text, "[\\p{L}\\p{N}]+", "a"))
-    pair = lambda x, n: F.xxhash64(x, F.coalesce(n, F.lit("</s>")))
-    return F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, n: F.pmod(pair(x, n), F.lit(BUCKETS)).cast("int"))
+def shape_buckets(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per word of ``t``: bucket ``b`` of its shape (runs of letters and digits folded) hashed with the next word's shape."""
+    pairs = _pairs(rows, words_of(F.regexp_replace("t", "[\\p{L}\\p{N}]+", "a")), *keep)
+    return pairs.select(*keep, F.pmod(F.xxhash64("p.x", F.coalesce("p.n", F.lit("</s>"))), F.lit(BUCKETS)).cast("int").alias("b"))
+
+
+def _pairs(rows: DataFrame, words: Column, *keep: str) -> DataFrame:
+    """One row per word: ``p`` of it (x) and the next (n, null behind the last)."""
+    return rows.select(*keep, words.alias("w")).select(*keep, F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.size("w")).alias("n"))).alias("p"))
