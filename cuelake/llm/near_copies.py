@@ -1,8 +1,14 @@
-"""Near copies by word shingles: MinHash bands propose pairs, exact Jaccard similarity decides.
+"""Near copies by SimHash and pivot distance tables over word shingles, decided by exact Jaccard similarity.
 
-A text is its set of hashed ``shingle``-word runs (all words, if fewer). ``BANDS`` bands of ``ROWS`` minima each bring a pair of
-similarity 0.8 together with probability 0.9998. Texts of one set are one node. Where at most ``FEW`` nodes meet, all their pairs
-are verified on the whole sets. A larger meeting is taken apart around a few of its nodes, those that meet most others in all bands,
+A text is its set of hashed ``shingle``-word runs (all words, if fewer), texts of one set are one node, and a node's fingerprint
+has ``BITS`` sign bits. Sets of Jaccard similarity s differ in each bit with probability acos(2s / (1 + s)) / pi at most (0.15 at 0.8), so
+the radius is that mean and 5.8 standard deviations; unrelated texts are some 128 apart. Nodes meet where a block of
+bits agrees, in so many blocks that all but ``MISSED`` of the pairs at the very limit meet (nearer ones miss less). In each place
+some members are pivots, with a table of their distances to all others: who lies within the radius of a pivot joins its family, and of
+the others only those compare whose distances to the pivot differ by no more than the radius.
+
+A family of a place is a meeting of ``links``, which loses no pair of it. Where at most ``FEW`` nodes meet, all their pairs
+are verified on the whole sets. A larger meeting is taken apart around a few of its nodes, those that meet most others in all places,
 round after round and around ever more of them up to a bound: every node is compared with these centres; those similar to one are linked and leave, the others meet again. Two nodes of distances x and y
 from a centre are at least ``|x - y|`` apart, so a leaver and one that stays are compared only at distances where a link
 is still possible, first with a few leavers, then, as far as their components are still apart, with all; no link
@@ -16,6 +22,7 @@ row number, so repeated rows shrink to one; very long texts are sets like any ot
 from __future__ import annotations
 
 from functools import reduce
+from math import acos, ceil, log, log1p, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +31,12 @@ from pyspark.sql import DataFrame, functions as F
 from ..shipping import discard, materialize, ship_package
 from .simhash import components
 
-BANDS, ROWS = 16, 4
+BITS = 256
+WORDS = BITS // 64
+#: Bits of a block, up to 2 ** (BLOCK + PLACES_BITS) nodes; then one more for each doubling.
+BLOCK, PLACES_BITS = 10, 14
+#: Share of the pairs right at the limit of similarity that meet nowhere.
+MISSED = 2e-4
 SHINGLE, SIMILARITY_PERCENT = 5, 80
 FEW = 32
 #: Centres of a larger meeting in the first round, the second, and so on; the last holds for all others.
@@ -41,27 +53,133 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(g) for g in grams), dtype=np.uint64, count=len(grams)))
 
 
-def _coefficients() -> tuple[np.ndarray, np.ndarray]:
-    a, b = np.random.default_rng(80).integers(0, 2**64, (2, BANDS * ROWS, 1), dtype=np.uint64)
-    return a | np.uint64(1), b
+def _words(hashes: np.ndarray) -> np.ndarray:
+    """``WORDS`` further hashes of each hash (a finaliser of splitmix64 behind different offsets)."""
+    x = hashes[:, None] + np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-_A, _B = _coefficients()
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of a set: a bit is 1 if set in over half the hashes; ``WORDS`` words."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for i in range(0, len(hashes), 4096):
+        bits = np.unpackbits(_words(hashes[i : i + 4096]).view(np.uint8), axis=1)
+        ones += bits.sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(hashes)).view(np.uint64)
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """One signed key per band; none without shingles."""
-    import xxhash
+def apart(percent: int) -> float:
+    """The share of bits in which two sets of this similarity differ, at most, on average."""
+    return acos(2 * percent / (100 + percent)) / pi
 
-    if not len(hashes):
-        return []
-    low = np.full(BANDS * ROWS, 2**64 - 1, dtype=np.uint64)
-    for i in range(0, len(hashes), 4096):
-        x = (hashes[None, i : i + 4096] ^ _B) * _A
-        # The low bits of a product are weak; the high ones are folded in.
-        low = np.minimum(low, ((x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)).min(axis=1))
-    keys = [xxhash.xxh64_intdigest(low[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+
+def radius_of(percent: int) -> int:
+    p = apart(percent)
+    return ceil(BITS * p + 5.8 * sqrt(BITS * p * (1 - p)))
+
+
+def blocks(percent: int, nodes: int) -> np.ndarray:
+    """Bit numbers of each block. Blocks have ``BLOCK`` bits, more where so many nodes would crowd the places."""
+    size = max(BLOCK, nodes.bit_length() - PLACES_BITS)
+    # Blocks share bits, which makes misses some 1.2 times as many blocks' worth.
+    many = ceil(1.2 * log(MISSED) / log1p(-((1 - apart(percent)) ** size)))
+    rng, each = np.random.default_rng(80), BITS // size
+    return np.concatenate([rng.permutation(BITS)[: each * size].reshape(each, size) for _ in range(-(-many // each))])[:many]
+
+
+def places(fps: np.ndarray, dealt: np.ndarray) -> np.ndarray:
+    """The place of each fingerprint (row) by each block (column)."""
+    bits = np.unpackbits(fps.view(np.uint8), axis=1)
+    power = 1 << np.arange(dealt.shape[1], dtype=np.int64)
+    return np.stack([(bits[:, b] @ power) + (i << 40) for i, b in enumerate(dealt)], axis=1)
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(x), len(y)), dtype=np.int16)
+    for i in range(0, len(y), 4096):
+        for w in range(WORDS):
+            out[:, i : i + 4096] += np.bitwise_count(x[:, w, None] ^ y[None, i : i + 4096, w])
+    return out
+
+
+def families(fps: np.ndarray, radius: int, pivots: int = 256) -> np.ndarray:
+    """A number for each fingerprint, alike for those that steps of at most ``radius`` bits connect."""
+    family = np.arange(len(fps))
+
+    def join(x, y):  # both: member numbers, pair by pair
+        nonlocal family
+        while len(x):
+            a, b = family[x], family[y]
+            to = np.arange(len(fps))
+            np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+            family = to[family]
+            still = family[x] != family[y]
+            x, y = x[still], y[still]
+
+    rest = np.arange(len(fps))
+    while len(rest) > 1:
+        table = distances(fps[rest[:pivots]], fps[rest])
+        at, near = np.nonzero(table <= radius)
+        join(rest[at[near > at]], rest[near[near > at]])
+        table, rest = table[:, pivots:], rest[pivots:]
+        nearest, far = table.argmin(axis=0), table.min(axis=0, initial=BITS)
+        leaves = far <= radius
+        for p in np.unique(nearest[leaves]):
+            mine = np.flatnonzero(leaves & (nearest == p))
+            # The pivot's table: of two distances that differ by more than the radius, no link is possible.
+            others = np.flatnonzero((table[p] <= far[mine].max() + radius) & (family[rest] != family[rest[mine[0]]]))
+            for i in range(0, len(mine), 256):
+                x, y = np.nonzero(distances(fps[rest[mine[i : i + 256]]], fps[rest[others]]) <= radius)
+                join(rest[mine[i + x]], rest[others[y]])
+        rest = rest[~leaves]
+    return family
+
+
+def meetings(nodes: DataFrame, percent: int) -> DataFrame:
+    """(k, node): the families of at least two, of all places, of ``nodes`` (node, f: its fingerprint); each family once."""
+    dealt, radius = blocks(percent, nodes.count()), radius_of(percent)
+    read = lambda column: np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, WORDS)
+
+    def seat(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 1024):
+                s = b.slice(i, 1024)
+                at = pa.array(np.repeat(np.arange(s.num_rows), len(dealt)))
+                yield pa.RecordBatch.from_arrays([pa.array(places(read(s.column(1)), dealt).ravel()), s.column(0).take(at), s.column(1).take(at)], ["k", "node", "f"])
+
+    def meet(k, node, fps):
+        """Whole places, sorted: their families."""
+        import xxhash
+
+        keys, members = [], []
+        cuts = np.flatnonzero(np.diff(k)) + 1
+        for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k)]):
+            family = families(fps[a:z], radius) if z > a + 1 else np.zeros(0)
+            if len(family) and len(set(family.tolist())) < len(family):
+                order = np.argsort(family, kind="stable")
+                for group in np.split(order, np.flatnonzero(np.diff(family[order])) + 1):
+                    if len(group) > 1:
+                        own = np.sort(node[a:z][group])
+                        keys += [np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64)] * len(own)
+                        members += own.tolist()
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(members, pa.int64())], ["k", "node"])
+
+    def run(batches):
+        held = None  # the last place, which the next batch may go on with
+        for b in batches:
+            now = b.column(0).to_numpy(), b.column(1).to_numpy(), read(b.column(2))
+            now = now if held is None else tuple(map(np.concatenate, zip(held, now)))
+            cut = np.searchsorted(now[0], now[0][-1])
+            if cut:
+                yield meet(*(x[:cut] for x in now))
+            held = tuple(x[cut:] for x in now)
+        if held:
+            yield meet(*held)
+
+    seats = nodes.select("node", "f").mapInArrow(seat, "k long, node long, f binary").repartition("k").sortWithinPartitions("k")
+    return materialize(seats.mapInArrow(run, "k long, node long"), "met").distinct()
 
 
 def _node(hashes: np.ndarray) -> int:
@@ -142,8 +260,8 @@ def near_groups(docs: DataFrame, row: str, shingle: int = SHINGLE, percent: int
     def sketch(batches):
         for b in batches:
             sets = [shingle_set(t, shingle) for t in b.column(2).to_pylist()]
-            cols = [b.column(0), b.column(1), pa.array(map(_node, sets), pa.int64()), pa.array(map(band_keys, sets), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(cols, ["row", "doc_id", "node", "keys"])
+            cols = [b.column(0), b.column(1), pa.array(map(_node, sets), pa.int64()), pa.array([fingerprint(s).tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["row", "doc_id", "node", "f"])
 
     def whole(batches):
         for b in batches:
@@ -152,14 +270,13 @@ def near_groups(docs: DataFrame, row: str, shingle: int = SHINGLE, percent: int
                 yield pa.RecordBatch.from_arrays([pa.array([_node(s)], pa.int64()), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], ["node", "s"])
 
     rows = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
-    sketches = materialize(rows.mapInArrow(sketch, "row long, doc_id long, node long, keys array<long>"), "sketches")
-    nodes = sketches.groupBy("node").agg(F.first("keys").alias("keys"), F.min("row").alias("row"))
-    seats = nodes.select("node", "row", F.explode("keys").alias("k"))
-    seats = materialize(seats.join(seats.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "k"), "seats")
+    sketches = materialize(rows.mapInArrow(sketch, "row long, doc_id long, node long, f binary"), "sketches")
+    nodes = materialize(sketches.groupBy("node").agg(F.first("f").alias("f"), F.min("row").alias("row")), "nodes")
+    seats = materialize(meetings(nodes, percent), "seats")
     # One text of each node that has met another.
-    first = seats.select("row").distinct()
+    first = nodes.join(seats.select("node").distinct(), "node", "left_semi").select("row")
     sets = materialize(rows.join(first, "row").select("t").mapInArrow(whole, "node long, s array<long>"), "sets")
-    root = components(materialize(links(seats.select("k", "node"), sets, percent), "links")).select(F.col("fp").alias("node"), "root")
+    root = components(materialize(links(seats, sets, percent), "links")).select(F.col("fp").alias("node"), "root")
     groups = sketches.select("row", "doc_id", "node").join(root, "node", "left").select("row", "doc_id", F.coalesce("root", "node").alias("g"))
     best = groups.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("k"))
     out = groups.join(best, "g")

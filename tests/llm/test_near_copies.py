@@ -47,3 +47,33 @@ def test_crowd(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, i) for i, t in texts.items()], "doc_id long, text string, row long")
     got = {r.doc_id: r.component_id for r in near_copies.near_groups(docs, "row").collect()}
     assert got == low
+
+
+def test_families_of_fingerprints():
+    """Pivot tables lose no step within the radius, with more pivots than members and with few; chains and strays included."""
+    rng = np.random.default_rng(4)
+    flip = lambda f, n: f ^ np.packbits(np.isin(np.arange(256), rng.choice(256, n, replace=False))).view(np.uint64)
+    fps = [*rng.integers(0, 2**64, (60, 4), dtype=np.uint64)]
+    for i in range(150):
+        fps.append(flip(fps[i % 5 if i % 2 else -1], int(rng.integers(1, 90))))
+    fps = np.array(fps)[rng.permutation(len(fps))]
+    n, radius = len(fps), near_copies.radius_of(80)
+    near = np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2) <= radius
+    low = np.arange(n)
+    for _ in range(n):
+        low = np.array([low[near[i]].min() for i in range(n)])
+    for pivots in (1, 7, 256):
+        got = near_copies.families(fps, radius, pivots)
+        assert [got.tolist().index(x) for x in got] == low.tolist() and 1 < len(set(low.tolist())) < n
+
+
+def test_similar_sets_meet():
+    """Sets right at the limit of similarity share a place and lie within the radius."""
+    rng = np.random.default_rng(5)
+    dealt, radius = near_copies.blocks(80, 1000), near_copies.radius_of(80)
+    sets = [rng.integers(0, 2**64, n + 2 * (n // 8), dtype=np.uint64) for n in rng.integers(64, 400, 500)]
+    x, y = (np.array([near_copies.fingerprint(s[a : len(s) - len(s) // 10 + a]) for s in sets for a in [k * (len(s) // 10)]]) for k in (0, 1))
+    assert (np.bitwise_count(x ^ y).sum(axis=1) <= radius).all()
+    assert (near_copies.places(x, dealt) == near_copies.places(y, dealt)).any(axis=1).all()
+    wide = near_copies.blocks(80, 1 << 26)
+    assert wide.shape[1] > dealt.shape[1] and len(wide) > len(dealt)
