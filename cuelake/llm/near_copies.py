@@ -43,6 +43,8 @@ FEW = 32
 CENTRES = (1, 4, 16, 64, 256)
 #: Pairs that are broadcast, of 16 bytes each; more are joined by shuffling.
 SENT = 30_000
+#: Seats of a task that writes a table of a round; every written file starts processes where the file system is local and Hadoop has no native code.
+SEATS = 20_000
 
 
 def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -188,47 +190,50 @@ def _node(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes())).view(np.int64))
 
 
-def similarity(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, common, every): sizes of the intersection and the union of two nodes' sets, for each distinct pair; written."""
-    pairs = materialize(pairs.distinct(), "pairs")
+def similarity(pairs: DataFrame, sets: DataFrame, tasks: int) -> DataFrame:
+    """(a, b, common, every): sizes of the intersection and the union of two nodes' sets, for each distinct pair; written by ``tasks`` at most."""
+    pairs = materialize(pairs.distinct().coalesce(tasks), "pairs")
     x, y = (sets.select(F.col("node").alias(n), F.col("s").alias(s)) for n, s in (("a", "x"), ("b", "y")))
     if pairs.count() <= SENT:  # few enough to send, so that the sets stay where they are
         both = x.join(F.broadcast(pairs), "a").join(y.join(F.broadcast(pairs), "b"), ["a", "b"])
     else:
         both = pairs.join(x, "a").join(y, "b")
     both = both.withColumn("common", F.size(F.array_intersect("x", "y")).cast("long"))
-    return materialize(both.select("a", "b", "common", (F.size("x") + F.size("y") - F.col("common")).alias("every")), "scored")
+    return materialize(both.select("a", "b", "common", (F.size("x") + F.size("y") - F.col("common")).alias("every")).coalesce(tasks), "scored")
 
 
 def links(seats: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of nodes that meet at a seat (k, node) and are similar, enough of them to connect all that are."""
     similar = F.col("common") * 100 >= F.col("every") * percent
     radius = 1 - percent / 100 + 1e-9
-    linked = lambda pairs: similarity(pairs, sets).where(similar).select("a", "b")
+    linked = lambda pairs: similarity(pairs, sets, tasks).where(similar).select("a", "b")
     found, stayed, left = [], [], []
+    # The slots of the cluster twice over, more for larger tables.
+    tasks = max(2 * seats.sparkSession.sparkContext.defaultParallelism, seats.count() // SEATS)
+    write = lambda rows, name: materialize(rows.coalesce(tasks), name)
     sizes = seats.groupBy("k").agg(F.count("*").alias("n"))
     # How many others a node meets: the origin of a family meets most of it, its edited copies meet fewer.
     weight = seats.join(sizes, "k").groupBy("node").agg(F.sum("n").alias("weight"))
     seats = seats.join(weight, "node")
     while True:
         crowd = seats.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-        here = materialize(seats.join(crowd, "k"), "meetings")
+        here = write(seats.join(crowd, "k"), "meetings")
         few = here.where(F.col("n") <= FEW)
         every_pair = few.select("k", F.col("node").alias("a")).join(few.select("k", F.col("node").alias("b")), "k").where("a < b").select("a", "b")
         # A family goes with the first centre; crowds that are no family are taken apart around more centres at once.
         many, centres = here.where(F.col("n") > FEW), CENTRES[min(len(found), len(CENTRES) - 1)]
         centre = many.groupBy("k", F.pmod(F.xxhash64("node"), F.lit(centres)).alias("which")).agg(F.max(F.struct("weight", "node"))["node"].alias("a")).select("k", "a")
-        many = materialize(many.select("k", F.col("node").alias("b"), "weight").join(centre, "k").where("a != b"), "compared")
+        many = write(many.select("k", F.col("node").alias("b"), "weight").join(centre, "k").where("a != b"), "compared")
         compared = many.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        scored = similarity(every_pair.unionByName(compared), sets)
+        scored = similarity(every_pair.unionByName(compared), sets, tasks)
         found.append(scored.where(similar).select("a", "b"))
         pair = scored.select("a", "b", similar.alias("leaves"), (1 - F.col("common") / F.col("every")).alias("far"))
         both = pair.unionByName(pair.select(F.col("b").alias("a"), F.col("a").alias("b"), "leaves", "far"))
-        judged = materialize(many.join(both, ["a", "b"]).select(F.lit(len(found)).alias("turn"), "k", "a", "b", "weight", "leaves", "far"), "judged")
+        judged = write(many.join(both, ["a", "b"]).select(F.lit(len(found)).alias("turn"), "k", "a", "b", "weight", "leaves", "far"), "judged")
         stayed.append(judged.where(~F.col("leaves") & (F.col("far") <= 2 * radius)).select("turn", "k", "a", "b", "far"))
         # One centre of each leaver, its nearest: whoever is similar to the leaver lies within twice the radius of it.
         nearest = judged.where("leaves").groupBy("turn", "k", F.col("b").alias("c")).agg(F.min(F.struct("far", "a")).alias("m"))
-        left.append(materialize(nearest.select("turn", "k", "c", F.col("m.a").alias("a"), F.col("m.far").alias("near")), "left"))
+        left.append(write(nearest.select("turn", "k", "c", F.col("m.a").alias("a"), F.col("m.far").alias("near")), "left"))
         rest = judged.groupBy("k", "b").agg(F.max("leaves").alias("leaves"), F.first("weight").alias("weight")).where("not leaves").select("k", F.col("b").alias("node"), "weight")
         seats = rest.join(judged.select("k", F.col("a").alias("node")).distinct(), ["k", "node"], "left_anti")  # a centre was compared with all
         discard(sets.sparkSession)
@@ -241,7 +246,7 @@ def links(seats: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     some = left.groupBy("turn", "k", "a").agg(F.array_distinct(F.array(F.min("c"), F.max("c"), F.min_by("c", "near"), F.min_by("c", F.xxhash64("c")))).alias("some"))
     tried = stayed.join(some, ["turn", "k", "a"]).select("b", F.explode("some").alias("c"))
     ends = (F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b"))  # of the two beside the centre
-    found = materialize(found.unionByName(linked(tried.select(*ends))), "links")
+    found = write(found.unionByName(linked(tried.select(*ends))), "links")
     # What is still apart is compared in full, where the distances from the centre leave room for a link.
     root = components(found)
     of = lambda rows, node: rows.join(root.withColumnRenamed("fp", node), node, "left").withColumn("root", F.coalesce("root", node))

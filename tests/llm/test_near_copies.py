@@ -77,3 +77,29 @@ def test_similar_sets_meet():
     assert (near_copies.places(x, dealt) == near_copies.places(y, dealt)).any(axis=1).all()
     wide = near_copies.blocks(80, 1 << 26)
     assert wide.shape[1] > dealt.shape[1] and len(wide) > len(dealt)
+
+
+def test_few_files(spark, monkeypatch):
+    """Tables of a round have at most twice as many files as there are slots, however many partitions a shuffle has."""
+    from cuelake.shipping import materialize
+
+    files = {}
+
+    def counted(rows, name):
+        out = materialize(rows, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near_copies, "materialize", counted)
+    texts = _texts()
+    docs = spark.createDataFrame([(i, t, i) for i, t in texts.items()], "doc_id long, text string, row long")
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 60)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.doc_id: r.component_id for r in near_copies.near_groups(docs, "row").collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert got == plain.near(texts)
+    assert max(files[n] for n in ("meetings", "pairs", "scored")) <= 2 * spark.sparkContext.defaultParallelism
