@@ -2,7 +2,7 @@
 
 Stages take all rows their predecessor kept, decide on whole texts and keep rows as they are, extra columns included. Rows with a null
 text count as empty, those with a null id are judged like any other, and of rows that repeat an id each is judged by itself.
-A table without rows gives none. Toxicity is decided beside the row, without a shuffle; the other stages number the rows once,
+A table without rows gives none. Toxicity is decided beside the row, without a shuffle; the other stages number the rows,
 decide by that number, and join the decision to the text by it.
 """
 
@@ -23,14 +23,26 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows, written with a unique number each, and its column's name."""
-    row = _free(docs, "row_number")
-    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    """The rows with a unique number each, and its column's name.
+
+    Rows of a Parquet table are numbered by their file and their place in it, which hold however the table is split into tasks; any
+    other plan is written first, for it may give its rows in another order when it runs again.
+    """
+    row, path, at = (_free(docs, name) for name in ("row_number", "row_file", "row_place"))
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.nodeName() != "LogicalRelation" or not plan.toString().rstrip().endswith(" parquet") or _free(docs, "_metadata") != "_metadata":
+        return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    files = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+    if not files:
+        return docs.withColumn(row, F.lit(0).cast("long")), row
+    names = docs.sparkSession.createDataFrame(list(enumerate(files)), f"{row} long, {path} string")
+    placed = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at)).join(F.broadcast(names), path)
+    return placed.select(*(docs[c] for c in docs.columns), F.shiftleft(row, 40).bitwiseOR(F.col(at)).alias(row)), row
 
 
 def _keep(docs: DataFrame, decided: DataFrame, row: str) -> DataFrame:
-    """Rows whose number is among the kept ones of ``decided``."""
-    return docs.join(decided.where("kept").select(row), row, "left_semi").drop(row)
+    """Rows whose number is among the kept ones of ``decided``; joined alike at any size, so that small tables tell what large ones take."""
+    return docs.join(decided.where("kept").select(row).hint("merge"), row, "left_semi").drop(row)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

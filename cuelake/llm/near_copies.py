@@ -279,9 +279,11 @@ def near_groups(docs: DataFrame, row: str, shingle: int = SHINGLE, percent: int
     nodes = materialize(sketches.groupBy("node").agg(F.first("f").alias("f"), F.min("row").alias("row")), "nodes")
     seats = materialize(meetings(nodes, percent), "seats")
     # One text of each node that has met another.
-    first = nodes.join(seats.select("node").distinct(), "node", "left_semi").select("row")
+    first = nodes.join(seats.select("node").distinct(), "node", "left_semi").select("row").hint("merge")
     sets = materialize(rows.join(first, "row").select("t").mapInArrow(whole, "node long, s array<long>"), "sets")
-    root = components(materialize(links(seats, sets, percent), "links")).select(F.col("fp").alias("node"), "root")
+    linked = materialize(links(seats, sets, percent), "links")
+    discard(docs.sparkSession, sets)
+    root = components(linked).select(F.col("fp").alias("node"), "root")
     groups = sketches.select("row", "doc_id", "node").join(root, "node", "left").select("row", "doc_id", F.coalesce("root", "node").alias("g"))
     best = groups.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("k"))
     out = groups.join(best, "g")

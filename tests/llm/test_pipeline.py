@@ -73,3 +73,28 @@ def test_null_and_repeated_ids(spark):
     judged = corpus_pipeline.keep_quality(spark, docs.unionByName(rows), D)
     assert judged.where("doc_id is null and text is null").count() == 0 and judged.where("doc_id = 77").count() in (2, 3)
     assert [d for r in corpus_pipeline.pack(spark, rows, D).collect() for d in r.doc_ids].count(None) == 3
+
+
+def test_stages_write_no_texts(spark, monkeypatch, tmp_path):
+    """Rows of a table are numbered by file and place, alike however the table is split; their texts are not written again."""
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    docs.repartition(3).write.parquet(f"{tmp_path}/a b%20c")
+    docs = spark.read.parquet(f"{tmp_path}/a b%20c")
+    written, materialize = {}, corpus_pipeline.materialize
+    monkeypatch.setattr(corpus_pipeline, "materialize", lambda rows, name: written.setdefault(name, materialize(rows, name)))
+    rows, row = corpus_pipeline._numbered(docs)
+    assert rows.columns == [*docs.columns, row] and not written
+    got = {r[row]: r.doc_id for r in rows.collect()}
+    assert len(got) == docs.count() and sorted(got.values()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+        again = rows.where("doc_id is not null").select(row, "doc_id")
+        assert again.rdd.getNumPartitions() > 3 and {r[0]: r[1] for r in again.collect()} == got
+        for name, stage in corpus_pipeline.STAGES[1:-1]:
+            stage(spark, docs, D).count()
+        assert not written
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    other, row = corpus_pipeline._numbered(docs.unionByName(docs))
+    assert "numbered" in written and other.select(row).distinct().count() == 2 * len(got)
