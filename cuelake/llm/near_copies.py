@@ -11,8 +11,8 @@ A family of a place is a meeting of ``links``, which loses no pair of it. Where
 are verified on the whole sets. A larger meeting is taken apart around a few of its nodes, those that meet most others in all places,
 round after round and around ever more of them up to a bound: every node is compared with these centres; those similar to one are linked and leave, the others meet again. Two nodes of distances x and y
 from a centre are at least ``|x - y|`` apart, so a leaver and one that stays are compared only at distances where a link
-is still possible, first with a few leavers, then, as far as their components are still apart, with all; no link
-between components is lost, and a family of n copies takes some n comparisons, not n * n / 2.
+is still possible, first with a few leavers, then, as far as their components are still apart, with those of all that
+share one of their rarest differences from the centre (``bridges``); no link between components is lost.
 Components come from the rounds of ``simhash.components`` over the nodes.
 
 Null texts count as empty; all texts without words are one node; of a group the row of smallest id stays, null ids last, then by
@@ -190,18 +190,60 @@ def _node(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes())).view(np.int64))
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b), a written table, with the set of each end, x and y."""
+    x, y = (sets.select(F.col("node").alias(n), F.col("s").alias(s)) for n, s in (("a", "x"), ("b", "y")))
+    if pairs.count() <= SENT:  # few enough to send, so that the sets stay where they are
+        return x.join(F.broadcast(pairs), "a").join(y.join(F.broadcast(pairs), "b"), ["a", "b"])
+    return pairs.join(x, "a").join(y, "b")
+
+
 def similarity(pairs: DataFrame, sets: DataFrame, tasks: int) -> DataFrame:
     """(a, b, common, every): sizes of the intersection and the union of two nodes' sets, for each distinct pair; written by ``tasks`` at most."""
     pairs = materialize(pairs.distinct().coalesce(tasks), "pairs")
-    x, y = (sets.select(F.col("node").alias(n), F.col("s").alias(s)) for n, s in (("a", "x"), ("b", "y")))
-    if pairs.count() <= SENT:  # few enough to send, so that the sets stay where they are
-        both = x.join(F.broadcast(pairs), "a").join(y.join(F.broadcast(pairs), "b"), ["a", "b"])
-    else:
-        both = pairs.join(x, "a").join(y, "b")
-    both = both.withColumn("common", F.size(F.array_intersect("x", "y")).cast("long"))
+    both = _with_sets(pairs, sets).withColumn("common", F.size(F.array_intersect("x", "y")).cast("long"))
     return materialize(both.select("a", "b", "common", (F.size("x") + F.size("y") - F.col("common")).alias("every")).coalesce(tasks), "scored")
 
 
+def bridges(stayed: DataFrame, left: DataFrame, heads: DataFrame, sets: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """(b, c): of the nodes ``stayed`` (a, b, root) and ``left`` (a, c, root) beside a centre ``a``, at least the similar pairs of two roots or what links both.
+
+    Centres of one root share the one of most leavers, so a family has one centre however many it was taken apart around. The sets of b and
+    c differ where their differences from the centre's set do. For similarity p, of differences B and C at least (u_b + u_c) / 2 (100 + p)
+    must be common, u being (100 + p) times the size of the difference less (100 - p) times that of the set. Where that is not more than 0,
+    both are similar to the centre, and are linked to it; all others share one of their rarest differences: of n in one order and o to be
+    common, of the first n - o + 1.
+    """
+    write = lambda rows, name: materialize(rows.coalesce(tasks), name)
+    more, less = 100 + percent, 100 - percent
+    heads = heads.groupBy("a", F.col("root").alias("own")).agg(F.count("*").alias("n"))
+    heads = write(heads.join(heads.groupBy("own").agg(F.max(F.struct("n", "a"))["a"].alias("head")), "own").select("a", "own", "head"), "heads")
+    sides = stayed.select("a", "b", "root", F.lit(True).alias("stays")).unionByName(left.select("a", F.col("c").alias("b"), "root", F.lit(False).alias("stays")))
+    sides = write(sides.join(heads, "a").select(F.col("head").alias("a"), "own", "b", "root", "stays").distinct(), "sides")
+    # Who may have a partner: one of another root.
+    of = lambda stays, what: F.when(F.col("stays") == stays, F.col(what))
+    limits = sides.groupBy("a").agg(*(f(of(s, "root")).alias(f"{n}_{s}") for s in (True, False) for n, f in (("min", F.min), ("max", F.max))))
+    other = lambda name: F.when(F.col("stays"), F.col(f"{name}_False")).otherwise(F.col(f"{name}_True"))
+    apart = (other("min") != F.col("root")) | (other("max") != F.col("root"))
+    sides = write(sides.join(limits, "a").where(apart).select("a", "own", "b", "root", "stays"), "partners")
+    beside = _with_sets(write(sides.select("a", "b").distinct(), "ends"), sets).select("a", "b", F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("d"), F.size("y").cast("long").alias("n_set"), F.size("x").cast("long").alias("n_centre"))
+    u = (F.size("d").cast("long") * more - F.col("n_set") * less).alias("u")
+    beside = write(beside.select("a", "b", "n_centre", u, "d"), "differences")
+    sides = write(sides.join(beside.drop("d"), ["a", "b"]), "sized")
+    each = beside.select("a", "b", F.explode("d").alias("e"))
+    # One order for all around a centre: by number of holders there, then by hash.
+    ranked = each.join(each.groupBy("a", "e").agg(F.count("*").alias("n")), ["a", "e"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("d"))
+    low = sides.groupBy("a").agg(F.min(of(True, "u")).alias("u_True"), F.min(of(False, "u")).alias("u_False"))
+    common = lambda x, y: F.ceil((x + y) / (2 * more))
+    first = ranked.join(sides, ["a", "b"]).join(low, "a").withColumn("n", F.size("d")).withColumn("first", F.col("n") - common(F.col("u"), other("u")) + 1)
+    first = first.where("first > 0").select("a", "b", "root", "stays", "u", "n", F.posexplode(F.slice("d", F.lit(1), F.col("first").cast("int"))).alias("at", "d"))
+    first = write(first.select("a", F.col("d.e").alias("e"), "b", "root", "stays", "u", "n", "at"), "prefixes")
+    side = lambda stays, name: first.where(F.col("stays") == stays).select("a", "e", F.col("b").alias(name), *(F.col(x).alias(f"{x}_{name}") for x in ("root", "u", "n", "at")))
+    both, needed = side(True, "b").join(side(False, "c"), ["a", "e"]), common(F.col("u_b"), F.col("u_c"))
+    both = both.where((F.col("root_b") != F.col("root_c")) & (F.col("at_b") + needed <= F.col("n_b")) & (F.col("at_c") + needed <= F.col("n_c"))).select("b", "c")
+    return both.unionByName(sides.where((F.col("u") <= F.col("n_centre") * less) & (F.col("own") != F.col("root"))).select("b", F.col("a").alias("c")))
+
+
 def links(seats: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of nodes that meet at a seat (k, node) and are similar, enough of them to connect all that are."""
     similar = F.col("common") * 100 >= F.col("every") * percent
@@ -247,12 +289,11 @@ def links(seats: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tried = stayed.join(some, ["turn", "k", "a"]).select("b", F.explode("some").alias("c"))
     ends = (F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b"))  # of the two beside the centre
     found = write(found.unionByName(linked(tried.select(*ends))), "links")
-    # What is still apart is compared in full, where the distances from the centre leave room for a link.
+    # What is still apart is compared with whom its differences from a centre leave room for a link; in whichever meeting it was beside it.
     root = components(found)
     of = lambda rows, node: rows.join(root.withColumnRenamed("fp", node), node, "left").withColumn("root", F.coalesce("root", node))
-    bridge = of(stayed, "b").withColumnRenamed("root", "root_b").join(of(left, "c").withColumnRenamed("root", "root_c"), ["turn", "k", "a"])
-    bridge = bridge.where((F.col("root_b") != F.col("root_c")) & (F.col("far") - F.col("near") <= radius)).select(*ends)
-    return found.unionByName(linked(bridge))
+    bridge = bridges(of(stayed, "b"), of(left, "c"), of(left, "a"), sets, percent, tasks)
+    return found.unionByName(linked(bridge.select(*ends)))
 
 
 def near_groups(docs: DataFrame, row: str, shingle: int = SHINGLE, percent: int = SIMILARITY_PERCENT) -> DataFrame:

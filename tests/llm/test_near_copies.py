@@ -49,6 +49,36 @@ def test_crowd(spark, monkeypatch):
     assert got == low
 
 
+def test_members_apart_are_not_all_compared(spark, monkeypatch):
+    """A family of which half lies just beyond the limit: only who shares rare differences is compared, and no link is lost."""
+    from cuelake.shipping import materialize
+
+    pairs = []
+
+    def counted(rows, name):
+        out = materialize(rows, name)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "FEW", 3)
+    monkeypatch.setattr(near_copies, "materialize", counted)
+    rng = np.random.default_rng(6)
+    copy = lambda edits: " ".join(edits.get(x, f"w{x}") for x in range(150))
+    texts = {0: copy({})}
+    for i in range(70):
+        at = rng.choice(150, 6, replace=False).tolist()
+        near = {x: f"near{i}x{x}" for x in at[: 1 + i % 3]}
+        far = {x: f"far{i}x{x}" for x in at}
+        # Every sixth is beyond the limit from the origin, but not from the copy whose three edits it has.
+        texts[1 + i], texts[101 + i] = copy(near), copy({x: far[x] for x in at[:5]} | near if i % 6 == 2 else far)
+    low = plain.near(texts)
+    docs = spark.createDataFrame([(i, t, i) for i, t in texts.items()], "doc_id long, text string, row long")
+    got = {r.doc_id: r.component_id for r in near_copies.near_groups(docs, "row").collect()}
+    assert got == low and 20 < len(set(low.values())) < 60
+    assert pairs[-1] <= len(texts)
+
+
 def test_families_of_fingerprints():
     """Pivot tables lose no step within the radius, with more pivots than members and with few; chains and strays included."""
     rng = np.random.default_rng(4)
