@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import strip
 
@@ -33,9 +35,21 @@ def clean(c: Column) -> Column:
     return c
 
 
+#: White space as ``clean`` knows it, and what it may change in a line: lines without such a place stand as they are.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_TIDY_PY = [(re.compile(re.sub(r"\\x\{(\w{4})\}", r"\\u\1", a).replace("\\s", f"[{_SPACE}]")), b.replace("$1", r"\1")) for a, b in TIDY]
+_UNTIDY = re.compile(f"[\u2013\u2014]|[{_SPACE.replace(' ', '')}]|^ | $| [ ,.;:!?)']|\\( ")
+
+
+def untidy(token: Column) -> Column:
+    """Whether ``clean`` may change a line with this word in it; joined by single spaces, words of which none is untidy stay as they are."""
+    return (token == "") | token.rlike("(?U)[\\x{2013}\\x{2014}\\s]|^[,.;:!?)']|\\(\\z")
+
+
 def clean_py(text: str) -> str:
-    for a, b in TIDY:
-        text = re.sub(re.sub(r"\\x\{(\w{4})\}", r"\\u\1", a), b.replace("$1", r"\1"), text)
+    if _UNTIDY.search(text):
+        for a, b in _TIDY_PY:
+            text = a.sub(b, text)
     return text
 
 
@@ -49,7 +63,8 @@ def bare(token: Column) -> Column:
 
 
 def _ends(w: Column, ends: tuple[str, ...]) -> Column:
-    return w.rlike(f"(?:{'|'.join(ends)})$")
+    """``w`` is bare, so no line end follows."""
+    return reduce(or_, (w.endswith(e) for e in ends))
 
 
 def verb_like(w: Column) -> Column:
@@ -68,35 +83,48 @@ def sentence_end(token: Column) -> Column:
     return token.rlike("[.!?]+$")
 
 
-def border_cost(token: Column, after: Column, gap: Column) -> Column:
-    """Cost of a border between ``token`` and the token ``after`` it, ``gap`` seconds apart; null ``after``: the last word.
+def with_signs(words: DataFrame) -> DataFrame:
+    """Words with what a border beside them depends on: ``signs``, a struct of flags worked out once for each word."""
+    # A generator between them, so that the stripped words are made once however many flags ask for them.
+    rows = words.select("*", F.inline(F.array(F.struct(strip(F.col("word")).alias("t"), bare(F.col("word")).alias("w")))))
+    return rows.withColumn("signs", _flags(F.col("t"), F.col("w"))).drop("t", "w")
+
+
+def _flags(t: Column, w: Column) -> Column:
+    flags = {
+        "pause": w.isin(PAUSES + FILLERS), "conjunction": w.isin(CONJUNCTIONS), "preposition": w.isin(PREPOSITIONS), "determiner": w.isin(DETERMINERS), "subject": w.isin(SUBJECTS),
+        "auxiliary": w.isin(AUXILIARIES), "negation": w.isin(NEGATIONS), "to": w == "to", "stem": w.isin(VERBS), "particle": w.isin(PARTICLES), "blank": w == "",
+        "noun": noun_like(w), "verb": verb_like(w), "adjective": adjective_like(w), "done": _ends(t, (".", "!", "?")), "clause": _ends(t, (",", ";", ":")), "capital": t.rlike("^\\p{Lu}"),
+    }
+    return F.struct(*[f.alias(k) for k, f in flags.items()])
+
+
+def border_cost(token: Column, mine: Column, after: Column, gap: Column) -> Column:
+    """Cost of a border between ``token`` and the token behind it, ``gap`` seconds apart, by the ``signs`` of both; null ``after``: the last word.
 
     A sum of independent signs: each is a condition and its weight; signs that exclude each other share a list.
     """
-    t, a = strip(token), strip(after)
-    p, n = bare(token), bare(after)
-    done, clause, capital = sentence_end(t), t.rlike("[,;:]+$"), "^\\p{Lu}"
-    noun, verb = noun_like(n), verb_like(n)
-    signs = [
+    p, n = (lambda k: mine[k]), (lambda k: after[k])
+    weights = [
         [(gap >= 0.8, -0.9), (gap >= 0.3, -0.35), (gap <= 0.08, 0.25)],
-        [(p.isin(PAUSES + FILLERS), -1.3)],
-        [(n.isin(PAUSES + FILLERS), -1.9)],
-        [(done, -3.4), (clause, -1.3)],
-        [(n.isin(CONJUNCTIONS), -1.45)],
-        [(n.isin(PREPOSITIONS), -1.0)],
-        [(p.isin(DETERMINERS) & noun, 5.6), (p.isin(DETERMINERS), 4.6)],
-        [(p.isin(SUBJECTS) & verb, 5.0)],
-        [(p.isin(AUXILIARIES) & verb, 4.5)],
-        [(p.isin(NEGATIONS) & verb, 4.2)],
-        [((p == "to") & verb, 4.0)],
-        [(p.isin(PREPOSITIONS) & noun, 4.2)],
-        [(adjective_like(p) & noun, 3.4)],
-        [(p.isin(CONJUNCTIONS) & (n != "") & ~done, 2.7)],
-        [(p.isin(VERBS) & n.isin(PARTICLES), 4.2)],
-        [(t.rlike(capital) & a.rlike(capital), 2.8)],
+        [(p("pause"), -1.3)],
+        [(n("pause"), -1.9)],
+        [(p("done"), -3.4), (p("clause"), -1.3)],
+        [(n("conjunction"), -1.45)],
+        [(n("preposition"), -1.0)],
+        [(p("determiner") & n("noun"), 5.6), (p("determiner"), 4.6)],
+        [(p("subject") & n("verb"), 5.0)],
+        [(p("auxiliary") & n("verb"), 4.5)],
+        [(p("negation") & n("verb"), 4.2)],
+        [(p("to") & n("verb"), 4.0)],
+        [(p("preposition") & n("noun"), 4.2)],
+        [(p("adjective") & n("noun"), 3.4)],
+        [(p("conjunction") & ~n("blank") & ~p("done"), 2.7)],
+        [(p("stem") & n("particle"), 4.2)],
+        [(p("capital") & n("capital"), 2.8)],
     ]
     total = F.lit(0.0)
-    for choice in signs:
+    for choice in weights:
         weight = F.lit(0.0)
         for condition, value in reversed(choice):
             weight = F.when(condition, value).otherwise(weight)

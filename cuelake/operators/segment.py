@@ -1,21 +1,22 @@
-"""Optimal caption segmentation: candidates as native expressions, a shortest path over them for each track, then repair.
+"""Optimal caption segmentation: candidates of each track, a shortest path over them, then repair.
 
-Candidates (every run of words that may be one caption, with its cost) need only windows over a track. The path, padding and
-merging depend on order and run grouped by track, so a track must fit in one task. Null words are no words; a track that
+The costs of borders are native. Candidates (every run of words that may be one caption, with its cost) are priced as arrays over
+a track's words; the path, padding and merging depend on order. Both run track by track, so a track must fit in one task. Null words are no words; a track that
 cannot be cut within the limits is reported as infeasible by ``track_status``; ties go to the earlier start.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from typing import NamedTuple
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import lexical
-from ..shipping import ship_package
+from .folding import by_tracks, in_rows
 
 SCHEMA = "track_id long, idx int, word_start int, word_end int, start double, end double, duration double, planned double, chars int, cps double, cost double, text string"
 
@@ -30,40 +31,87 @@ class Limits:
     max_cps: float = 20.0
 
 
-def borders(words: DataFrame) -> DataFrame:
-    """track_id, pos, word, start, end (seconds), next_start, and ``border``: the cost of ending a caption behind the word."""
+def _words(words: DataFrame) -> DataFrame:
+    """Usable words with their neighbours' times, ``border``, the trimmed ``token``, and whether it is ``untidy``."""
     w = W.partitionBy("track_id").orderBy("pos")
     rows = words.where("word is not null and start_ms is not null and end_ms is not null").select("track_id", "pos", "word", (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"))
-    rows = rows.withColumns({"next_word": F.lead("word").over(w), "next_start": F.lead("start").over(w), "before": F.coalesce(F.lag("end").over(w), F.lit(0.0))})
-    return rows.withColumn("border", lexical.border_cost(F.col("word"), F.col("next_word"), F.col("next_start") - F.col("end"))).drop("next_word")
+    rows = lexical.with_signs(rows).withColumn("token", F.trim("word")).withColumn("untidy", lexical.untidy(F.col("token")))
+    rows = rows.withColumns({"next_signs": F.lead("signs").over(w), "next_start": F.lead("start").over(w), "before": F.coalesce(F.lag("end").over(w), F.lit(0.0))})
+    return rows.withColumn("border", lexical.border_cost(F.col("word"), F.col("signs"), F.col("next_signs"), F.col("next_start") - F.col("end"))).drop("signs", "next_signs")
 
 
-def candidates(words: DataFrame, lim: Limits = Limits()) -> DataFrame:
-    """Runs of words that may be one caption: track_id, i, j (positions), start, end, planned, text, chars, cps, cost.
+def borders(words: DataFrame) -> DataFrame:
+    """track_id, pos, word, start, end (seconds), next_start, and ``border``: the cost of ending a caption behind the word."""
+    return _words(words).select("track_id", "pos", "word", "start", "end", "next_start", "before", "border")
+
+
+#: Words whose runs are priced at once.
+BLOCK = 65_536
+
 
-    A word has at least one character, so a run has at most ``max_chars`` words; runs too long or too wide go before their text is made.
+def _table(words: DataFrame, lim: Limits) -> DataFrame:
+    """What ``runs`` needs of each word."""
+    return _words(words).select("track_id", "pos", "word", "token", "start", "end", "before", F.coalesce("next_start", F.col("end") + lim.min_dur).alias("behind"), "border", "untidy", F.length("word").alias("n"), F.length("token").alias("width"))
+
+
+#: Columns of ``_table`` that come as arrays.
+NUMBERS = ("pos", "start", "end", "before", "behind", "border", "untidy", "n", "width")
+
+
+def runs(track: dict, lim: Limits, first: int, size: int, made: Callable[[int, int], str]):
+    """Runs that may be one caption, of the words ``first`` to ``first + size``: arrays (i, j, planned, chars, cps, cost) by first word, then last.
+
+    A word has at least one character, so a run has at most ``max_chars`` words. Differences of sums over the track give a run's
+    length; only a run with an untidy word must be ``made`` and tidied before it can be measured.
     """
-    w = W.partitionBy("track_id").orderBy("pos")
-    ahead = F.collect_list(F.struct("pos", "word", "end", "next_start", "border", F.length("word").alias("n"))).over(w.rowsBetween(0, lim.max_chars - 1))
-    rows = borders(words).select("track_id", F.col("pos").alias("i"), "start", "before", ahead.alias("ahead"))
-    rows = rows.withColumn("ahead", F.filter("ahead", lambda x: x["end"] - F.col("start") <= lim.max_dur + 1e-6))
-    rows = rows.select("*", F.posexplode("ahead").alias("k", "w")).select("track_id", "i", "start", "before", "ahead", "k", F.col("w.pos").alias("j"), F.col("w.end").alias("end"), F.col("w.next_start").alias("next_start"), F.col("w.border").alias("border"))
-    raw = F.col("end") - F.col("start")
-    rows = rows.where((raw > 0) & (raw <= lim.max_dur))
-    least = F.aggregate(F.slice("ahead", 1, F.col("k") + 1), F.lit(0), lambda a, x: a + x["n"])
-    # Tidying may take a space before punctuation, never a character of a word.
-    rows = rows.where(least <= lim.max_chars)
-    rows = rows.withColumn("text", lexical.clean(F.array_join(F.transform(F.slice("ahead", 1, F.col("k") + 1), lambda x: F.trim(x["word"])), " "))).drop("ahead")
-    room = F.greatest(F.lit(0.0), F.col("start") - F.col("before")) + F.greatest(F.lit(0.0), F.coalesce(F.col("next_start"), F.col("end") + lim.min_dur) - F.col("end")) + 0.18
-    rows = rows.withColumns({"chars": F.length("text"), "shown": F.least(F.lit(lim.max_dur), raw + room)})
-    need = F.greatest(raw, F.col("chars") / lim.max_cps)
-    rows = rows.where((F.col("chars") <= lim.max_chars) & (F.col("chars") / lim.max_cps <= F.col("shown") + 1e-6))
-    full = F.greatest(need, F.lit(lim.min_dur))
-    rows = rows.withColumn("planned", F.when(full > F.col("shown") + 1e-6, need).otherwise(full))
-    rows = rows.withColumn("cps", F.col("chars") / F.col("planned")).where(F.col("cps") <= lim.max_cps + 1e-6)
-    over = lambda x, limit, weight: F.greatest(F.lit(0.0), x - limit) * weight
-    cost = 1.0 + F.col("border") + over(F.col("cps"), lim.max_cps * 0.88, 1.4) + over(F.col("chars"), lim.max_chars * 0.9, 0.08) + over(lim.min_dur + 0.18 - F.col("planned"), 0.0, 0.9)
-    return rows.select("track_id", "i", "j", "start", "end", "planned", "text", "chars", "cps", cost.alias("cost"))
+    start, end, before, behind, border = (track[c] for c in ("start", "end", "before", "behind", "border"))
+    last = min(first + size, len(start))
+    raw_n, n, odd = (np.concatenate([[0], np.cumsum(track[c][first : last + lim.max_chars], dtype=np.int64)]) for c in ("n", "width", "untidy"))
+    parts, i = [], np.arange(first, last)
+    for k in range(lim.max_chars):
+        i = i[i < len(start) - k]
+        # Tidying may take a space before punctuation, never a character of a word.
+        i = i[raw_n[i + k + 1 - first] - raw_n[i - first] <= lim.max_chars]
+        if not len(i):
+            break
+        j, raw = i + k, end[i + k] - start[i]
+        fit = (raw > 0) & (raw <= lim.max_dur)
+        a, j, raw = i[fit], j[fit], raw[fit]
+        chars = n[j + 1 - first] - n[a - first] + k
+        for x in np.flatnonzero(odd[j + 1 - first] > odd[a - first]):
+            chars[x] = len(made(int(a[x]), int(j[x])))
+        room = np.maximum(0.0, start[a] - before[a]) + np.maximum(0.0, behind[j] - end[j]) + 0.18
+        shown = np.minimum(lim.max_dur, raw + room)
+        need = np.maximum(raw, chars / lim.max_cps)
+        full = np.maximum(need, lim.min_dur)
+        planned = np.where(full > shown + 1e-6, need, full)
+        cps = chars / planned
+        ok = (chars <= lim.max_chars) & (chars / lim.max_cps <= shown + 1e-6) & (cps <= lim.max_cps + 1e-6)
+        a, j, planned, chars, cps = (x[ok] for x in (a, j, planned, chars, cps))
+        over = lambda x, limit, weight: np.maximum(0.0, x - limit) * weight
+        cost = 1.0 + border[j] + over(cps, lim.max_cps * 0.88, 1.4) + over(chars, lim.max_chars * 0.9, 0.08) + over(lim.min_dur + 0.18 - planned, 0.0, 0.9)
+        parts.append((a, j, planned, chars, cps, cost))
+    found = [np.concatenate(x) for x in zip(*parts)] or [np.zeros(0, int)] * 6
+    order = np.lexsort((found[1], found[0]))
+    return [x[order] for x in found]
+
+
+def candidates(words: DataFrame, lim: Limits = Limits()) -> DataFrame:
+    """``runs`` of every track with their texts: track_id, i, j (positions), start, end, planned, text, chars, cps, cost."""
+
+    def run(track: dict):
+        tokens, pos = track["token"], track["pos"]
+        line, at = " ".join(tokens), np.concatenate([[0], np.cumsum(track["width"] + 1)])
+        odd = np.concatenate([[0], np.cumsum(track["untidy"])])
+        made = lambda i, j: lexical.clean_py(line[at[i] : at[j + 1] - 1])
+        for first in range(0, len(tokens), BLOCK):
+            i, j, planned, chars, cps, cost = runs(track, lim, first, BLOCK, made)
+            texts = [line[a:z] for a, z in zip(at[i].tolist(), (at[j + 1] - 1).tolist())]
+            for x in np.flatnonzero(odd[j + 1] > odd[i]):
+                texts[x] = made(i[x], j[x])
+            yield pos[i], pos[j], track["start"][i], track["end"][j], planned, texts, chars, cps, cost
+
+    return by_tracks(_table(words, lim), run, "track_id long, i long, j long, start double, end double, planned double, text string, chars int, cps double, cost double", NUMBERS)
 
 
 class Segment(NamedTuple):
@@ -79,19 +127,35 @@ class Segment(NamedTuple):
     cps: float
 
 
+class Path:
+    """The partition of ``n`` words into runs of least total cost. Runs come by first word, then last; of each word only the best run that ends there is kept."""
+
+    def __init__(self, n: int):
+        self.best, self.last = [0.0] + [float("inf")] * n, [None] * (n + 1)
+
+    def add(self, i: Iterable[int], j: Iterable[int], cost: Iterable[float], what: Iterable) -> None:
+        best, last = self.best, self.last
+        for a, b, c, x in zip(i, j, cost, what):
+            if best[a] + c < best[b + 1]:
+                best[b + 1], last[b + 1] = best[a] + c, (a, b, c, x)
+
+    def found(self) -> list[tuple] | None:
+        """(i, j, cost, what) in order, or None if the words cannot be cut."""
+        out, at = [], len(self.best) - 1
+        while at:
+            if self.last[at] is None:
+                return None
+            out.append(self.last[at])
+            at = self.last[at][0]
+        return out[::-1]
+
+
 def cheapest(n: int, runs) -> list[Segment] | None:
-    """The partition of ``n`` words into runs of least total cost, or None; ``runs`` come by first word, then last."""
-    best, last = [0.0] + [float("inf")] * n, [None] * (n + 1)
-    for r in runs:
-        if best[r.i] + r.cost < best[r.j + 1]:
-            best[r.j + 1], last[r.j + 1] = best[r.i] + r.cost, r
-    out, at = [], n
-    while at:
-        if last[at] is None:
-            return None
-        out.append(last[at])
-        at = last[at].i
-    return out[::-1]
+    """``Path`` over segments, or None."""
+    runs, path = list(runs), Path(n)
+    path.add((r.i for r in runs), (r.j for r in runs), (r.cost for r in runs), runs)
+    found = path.found()
+    return None if found is None else [r for *_, r in found]
 
 
 def padded(segs: list[Segment], lim: Limits, sweeps: int = 4) -> list[Segment]:
@@ -162,34 +226,45 @@ def finished(segs: list[Segment], tokens: list[str], lim: Limits) -> list[Segmen
 
 
 def dp_segments(words: DataFrame, lim: Limits = Limits()) -> DataFrame:
-    """Finished segments of every track; a track without a feasible partition gives no row, see ``track_status``."""
-    ship_package(words.sparkSession)
-    usable = words.where("word is not null and start_ms is not null and end_ms is not null")
-    numbered = usable.withColumn("pos", F.row_number().over(W.partitionBy("track_id").orderBy("pos")) - 1)
+    """Finished segments of every track; a track without a feasible partition gives no row, see ``track_status``.
+
+    The runs of a track and their path are worked out beside its words, so that no table of runs is made.
+    """
 
-    def run(runs: pd.DataFrame, track: pd.DataFrame) -> pd.DataFrame:
-        tokens = track.sort_values("pos").word.tolist()
-        runs = runs.sort_values(["i", "j"])
-        path = cheapest(len(tokens), map(Segment, runs.i, runs.j, runs.start, runs.end, runs.planned, runs.cost, runs.text, runs.cps)) or []
-        path = finished([s._replace(cost=round(s.cost, 4)) for s in path], tokens, lim)
-        rows = [(int(track.track_id.iloc[0]), k, s.i, s.j, s.start, s.end, s.end - s.start, s.planned, len(s.text), s.cps, s.cost, s.text) for k, s in enumerate(path, 1)]
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+    def run(track: dict):
+        words, tokens = track["word"], track["token"]
+        made = lambda i, j: lexical.clean_py(" ".join(tokens[i : j + 1]))
+        path = Path(len(words))
+        for first in range(0, len(words), BLOCK):
+            i, j, planned, _, _, cost = runs(track, lim, first, BLOCK, made)
+            path.add(i.tolist(), j.tolist(), cost.tolist(), planned.tolist())
+        start, end = track["start"], track["end"]
+        segs = [Segment(i, j, float(start[i]), float(end[j]), planned, round(cost, 4), "", 0.0) for i, j, cost, planned in path.found() or []]
+        segs = finished(segs, words, lim)
+        return [(k, s.i, s.j, s.start, s.end, s.end - s.start, s.planned, len(s.text), s.cps, s.cost, s.text) for k, s in enumerate(segs, 1)]
 
-    return candidates(numbered, lim).groupBy("track_id").cogroup(numbered.select("track_id", "pos", "word").groupBy("track_id")).applyInPandas(run, SCHEMA)
+    return by_tracks(_table(words, lim), in_rows(run), SCHEMA, NUMBERS)
 
 
 def track_status(words: DataFrame, segments: DataFrame) -> DataFrame:
     """Per track: number of words and segments, seconds from the first word to the last, and ``ok`` or ``infeasible``."""
+    return _status(words, segments.groupBy("track_id").agg(F.count("*").alias("n")))
+
+
+def _status(words: DataFrame, counted: DataFrame, *keep: str) -> DataFrame:
     w = words.groupBy("track_id").agg(F.count("*").alias("word_count"), F.min_by("start_ms", "pos").alias("first"), F.max_by("end_ms", "pos").alias("last"))
-    s = segments.groupBy("track_id").agg(F.count("*").alias("n"))
-    return w.join(s, "track_id", "left").select("track_id", "word_count", F.coalesce("n", F.lit(0)).alias("segment_count"), F.bround((F.col("last") - F.col("first")) / 1000, 3).alias("total_duration"), F.when(F.col("n") > 0, "ok").otherwise("infeasible").alias("status"))
+    return w.join(counted, "track_id", "left").select("track_id", "word_count", F.coalesce("n", F.lit(0)).alias("segment_count"), F.bround((F.col("last") - F.col("first")) / 1000, 3).alias("total_duration"), F.when(F.col("n") > 0, "ok").otherwise("infeasible").alias("status"), *keep)
 
 
-def reports(segments: DataFrame, status: DataFrame, issues: DataFrame, lim: Limits = Limits()) -> DataFrame:
-    """track_id and one JSON document: constraints, stats, validation, segments in order."""
-    segs = segments.groupBy("track_id").agg(F.sort_array(F.collect_list(F.struct("idx", "start", "end", "duration", "planned", "chars", "cps", "text", "word_start", "word_end", "cost"))).alias("segments"))
-    found = issues.groupBy("track_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "rule", "issue"))), lambda x: x["issue"]).alias("issues"))
-    rows = status.join(segs, "track_id", "left").join(found, "track_id", "left")
+def reports(words: DataFrame, checked: DataFrame, lim: Limits = Limits()) -> DataFrame:
+    """track_id and one JSON document: constraints, stats, validation, segments in order.
+
+    ``checked`` are segments with the rules they break, ``found``; they are grouped once for all parts, for their path is costly.
+    """
+    one = F.struct("idx", "start", "end", "duration", "planned", "chars", "cps", "text", "word_start", "word_end", "cost", "found")
+    segs = checked.groupBy("track_id").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(one)).alias("x"))
+    segs = segs.select("track_id", "n", F.transform("x", lambda e: e.dropFields("found")).alias("segments"), F.flatten(F.transform("x", lambda e: F.transform(e["found"], lambda f: f["issue"]))).alias("issues"))
+    rows = _status(words, segs, "segments", "issues")
     problems = F.coalesce("issues", F.array().cast("array<string>"))
     limits = F.struct(F.lit(lim.min_dur).alias("min_duration"), F.lit(lim.max_dur).alias("max_duration"), F.lit(lim.max_chars).alias("max_chars"), F.lit(lim.max_cps).alias("max_cps"), *[F.lit(True).alias(k) for k in ("single_line", "no_double_spaces", "no_en_em_dash")])
     document = F.struct(limits.alias("constraints"), F.struct("word_count", "segment_count", "total_duration").alias("stats"), F.struct((F.size(problems) == 0).alias("passed"), problems.alias("issues")).alias("validation"), "segments")

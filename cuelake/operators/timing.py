@@ -81,8 +81,8 @@ def last_responses(items: DataFrame, responses: DataFrame) -> DataFrame:
     return out.select("track_id", "win", "cue_id", "revised_zh", F.when(F.col("hit"), "ok").otherwise("fail").alias("status"))
 
 
-def validation_report(segments: DataFrame, min_sec: float = 5 / 6, max_sec: float = 7.0, max_chars: int = 42, max_cps: float = 20.0) -> DataFrame:
-    """track_id, pos, rule, issue: one row per broken rule, rules numbered in the order they are reported."""
+def broken_rules(segments: DataFrame, min_sec: float = 5 / 6, max_sec: float = 7.0, max_chars: int = 42, max_cps: float = 20.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """track_id, pos, the columns of ``keep``, and ``found``: number and issue of each rule the segment breaks, in order."""
     text, sec = F.coalesce("text", F.lit("")), (F.col("end_ms") - F.col("start_ms")) / 1000
     n = F.length(text)
     cps = F.when(sec > 0, n / sec).otherwise(float("inf"))
@@ -97,5 +97,9 @@ def validation_report(segments: DataFrame, min_sec: float = 5 / 6, max_sec: floa
         (F.col("start_ms") < before, F.lit("overlaps previous cue")),
     ]
     found = [F.when(bad, F.struct(F.lit(i).alias("rule"), said.alias("issue"))) for i, (bad, said) in enumerate(rules, 1)]
-    rows = segments.select("track_id", "pos", F.filter(F.array(*found), lambda x: x.isNotNull()).alias("found"))
-    return rows.select("track_id", "pos", F.inline("found"))
+    return segments.select("track_id", "pos", *keep, F.filter(F.array(*found), lambda x: x.isNotNull()).alias("found"))
+
+
+def validation_report(segments: DataFrame, **limits: float) -> DataFrame:
+    """track_id, pos, rule, issue: one row per broken rule, rules numbered in the order they are reported."""
+    return broken_rules(segments, **limits).select("track_id", "pos", F.inline("found"))

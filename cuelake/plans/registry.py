@@ -146,8 +146,8 @@ def _finished(s, d):
 
 def _segment_report(s, d):
     words, segs = tables.words(s, d), _finished(s, d)
-    ms = segs.select("track_id", (F.col("idx") - 1).cast("long").alias("pos"), F.col("idx").cast("long").alias("cue_id"), F.bround(F.col("start") * 1000).cast("long").alias("start_ms"), F.bround(F.col("end") * 1000).cast("long").alias("end_ms"), "text")
-    return segment.reports(segs, segment.track_status(words, segs), timing.validation_report(ms))
+    ms = segs.select("*", (F.col("idx") - 1).cast("long").alias("pos"), F.bround(F.col("start") * 1000).cast("long").alias("start_ms"), F.bround(F.col("end") * 1000).cast("long").alias("end_ms"))
+    return segment.reports(words, timing.broken_rules(ms, keep=tuple(c for c in segs.columns if c != "track_id")))
 
 
 def _listed(s, d):
