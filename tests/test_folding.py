@@ -70,3 +70,14 @@ def test_words_are_not_dealt_again(spark, name):
 
 def test_report_finds_segments_once(spark):
     assert plan(registry.queries()["segment_report"](spark, D)).count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("name", ["resegment", "resegment_counts", "merge_results", "merge_counts", "serial_run", "status_counts", "refine_run", "refine_counts"])
+def test_small_tracks_cost_no_group(spark, name):
+    p = plan(registry.queries()[name](spark, D))
+    assert "MapInArrow" in p and "FlatMapGroups" not in p
+
+
+def test_border_flags_are_made_once(spark):
+    """The bare word is made once for a word, not for each flag that asks for it."""
+    assert plan(registry.queries()["boundary_cost"](spark, D)).count("regexp_replace") <= 6
