@@ -11,10 +11,9 @@ from collections import Counter
 from dataclasses import dataclass, replace
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..shipping import ship_package
+from .folding import by_tracks, in_rows
 from .resegment import joined, tidy, width
 from .timing import anchor_spans
 
@@ -125,38 +124,32 @@ def _prepared(cues: DataFrame, results: DataFrame, lim: Joins) -> DataFrame:
     return anchor_spans(rows, lim.least_ms, lim.anchors, keep=("pos", "cue_end", "text", "revised_zh", "low", "joins", "missing", "invalid"))
 
 
-def _given(track: pd.DataFrame) -> list[Row]:
+def _given(track: dict) -> list[Row]:
     out = []
-    for c in track.sort_values("pos").itertuples():
-        source = c.text or ""
-        revised = tidy(c.revised_zh.strip()) if isinstance(c.revised_zh, str) else ""
-        text = revised + "*" * bool(c.low) if revised else source
-        out.append(Row(int(c.cue_id), int(c.start_ms), int(c.end_ms), int(c.cue_end), text, source, bool(c.joins)))
+    for i, start, end, cue_end, source, revised, low, joins in zip(*(track[c] for c in ("cue_id", "start_ms", "end_ms", "cue_end", "text", "revised_zh", "low", "joins"))):
+        source, revised = source or "", tidy(revised.strip()) if revised else ""
+        out.append(Row(i, start, end, cue_end, revised + "*" * bool(low) if revised else source, source, bool(joins)))
     return out
 
 
 def merge_results(cues: DataFrame, results: DataFrame, lim: Joins | None = None) -> DataFrame:
     """Captions of every track. ``results`` has one row per (track_id, cue_id): revised_zh, confidence, join_with_prev and anchors."""
-    ship_package(cues.sparkSession)
     lim = lim or Joins()
 
-    def run(track: pd.DataFrame) -> pd.DataFrame:
-        track_id = track.track_id.iloc[0]
-        return pd.DataFrame([(track_id, i, *c[:5]) for i, c in enumerate(fold(_given(track), lim))], columns=["track_id", "pos", "cue_id", "start_ms", "end_ms", "text", "source"])
+    def run(track: dict):
+        return ((i, *c[:5]) for i, c in enumerate(fold(_given(track), lim)))
 
-    return _prepared(cues, results, lim).groupBy("track_id").applyInPandas(run, SCHEMA)
+    return by_tracks(_prepared(cues, results, lim), in_rows(run), SCHEMA)
 
 
 def merge_counts(cues: DataFrame, results: DataFrame, lim: Joins | None = None) -> DataFrame:
     """``Counts`` of every track."""
-    ship_package(cues.sparkSession)
     lim = lim or Joins()
 
-    def run(track: pd.DataFrame) -> pd.DataFrame:
+    def run(track: dict):
         seen, rows = Counter(), _given(track)
         out = fold(rows, lim, seen)
-        revised = sum(isinstance(x, str) and bool(x.strip()) for x in track.revised_zh)
-        c = Counts(revised, int(track.low.sum()), int(track.anchored.sum()), seen["overlaps"], seen["joined"], seen["blocked"], int(track.missing.sum()), int(track.invalid.sum()), len(rows), len(out))
-        return pd.DataFrame([(track.track_id.iloc[0], *c)], columns=["track_id", *Counts._fields])
+        revised = sum(bool(x and x.strip()) for x in track["revised_zh"])
+        return [Counts(revised, sum(track["low"]), sum(track["anchored"]), seen["overlaps"], seen["joined"], seen["blocked"], sum(track["missing"]), sum(track["invalid"]), len(rows), len(out))]
 
-    return _prepared(cues, results, lim).groupBy("track_id").applyInPandas(run, "track_id long, " + ", ".join(f"{f} long" for f in Counts._fields))
+    return by_tracks(_prepared(cues, results, lim), in_rows(run), "track_id long, " + ", ".join(f"{f} long" for f in Counts._fields))
