@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from itertools import islice
 from typing import NamedTuple, Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..shipping import ship_package
+from .folding import by_tracks, in_rows
 from .resegment import tidy
 from .track import by_track, serial_windows
 
@@ -94,7 +96,7 @@ def serial_track(cues: list[Cue], backend: Backend, how: Serial) -> dict[int, Do
             for c in window:
                 done.setdefault(c.cue_id, Done(c.existing, None, None, "skipped"))
             continue
-        past = [(c, now[c.cue_id]) for c in cues[:i] if now.get(c.cue_id, "").strip()][-how.history :] if how.history > 0 else []
+        past = list(islice(((c, now[c.cue_id]) for c in (cues[p] for p in range(i - 1, -1, -1)) if now.get(c.cue_id, "").strip()), how.history))[::-1] if how.history > 0 else []
         try:
             answers = {a.cue_id: a for a in backend.window(past, [(c, now.get(c.cue_id, "")) for c in window], cues[i + len(window) : i + len(window) + 2])}
         except Exception:  # whatever a backend raises fails its window only
@@ -113,24 +115,21 @@ def serial_track(cues: list[Cue], backend: Backend, how: Serial) -> dict[int, Do
 _DONE = "track_id long, cue_id long, revised_zh string, confidence double, join_with_prev boolean, status string"
 
 
-def _cues(track: pd.DataFrame) -> list[Cue]:
-    opt = lambda x: x if isinstance(x, str) else None
-    return [Cue(int(r.cue_id), int(r.start_ms), int(r.end_ms), r.text or "", opt(getattr(r, "existing", None))) for r in track.sort_values("pos").itertuples()]
+def _cues(track: dict) -> list[Cue]:
+    return [Cue(i, s, e, t or "", x) for i, s, e, t, x in zip(track["cue_id"], track["start_ms"], track["end_ms"], track["text"], track.get("existing") or [None] * len(track["cue_id"]))]
 
 
 def serial_run(cues: DataFrame, existing: DataFrame | None = None, backend: Backend | None = None, how: Serial = Serial()) -> DataFrame:
     """One row per cue: its result and status. ``existing`` (track_id, cue_id, revised_zh): results of an earlier run."""
-    ship_package(cues.sparkSession)
     backend = backend or MockBackend()
     rows = cues.select("track_id", "pos", "cue_id", "start_ms", "end_ms", "text")
     if existing is not None:
         rows = rows.join(existing.select("track_id", "cue_id", F.col("revised_zh").alias("existing")), ["track_id", "cue_id"], "left")
 
-    def run(track: pd.DataFrame) -> pd.DataFrame:
-        done = serial_track(_cues(track), backend, how)
-        return pd.DataFrame([(track.track_id.iloc[0], k, *d) for k, d in done.items()], columns=[c.split()[0] for c in _DONE.split(", ")])
+    def run(track: dict):
+        return ((k, *d) for k, d in serial_track(_cues(track), backend, how).items())
 
-    return rows.groupBy("track_id").applyInPandas(run, _DONE)
+    return by_tracks(rows, in_rows(run), _DONE)
 
 
 def cue_run(cues: DataFrame, backend: Backend | None = None) -> DataFrame:
@@ -228,18 +227,16 @@ def refine_track(cues: list[Cue], sources: list[str], backend: Backend, start_id
 
 def refine(cues: DataFrame, sources: DataFrame, backend: Backend | None = None, start_id: int = 0, end_id: int = 0, limit: int = 0) -> DataFrame:
     """Refined cues of every track, with the track's counters on each row. Texts are tidied before."""
-    ship_package(cues.sparkSession)
     backend = backend or MockBackend()
     rows = cues.select("track_id", "pos", "cue_id", "start_ms", "end_ms", "text").join(source_of(cues, sources).select("track_id", "pos", "source"), ["track_id", "pos"])
     schema = "track_id long, pos long, cue_id long, start_ms long, end_ms long, text string, " + ", ".join(f"{f} long" for f in Refined._fields)
 
-    def run(track: pd.DataFrame) -> pd.DataFrame:
-        track = track.sort_values("pos")
+    def run(track: dict):
         given = [c._replace(text=tidy(c.text)) for c in _cues(track)]
-        out, n = refine_track(given, track.source.tolist(), backend, start_id, end_id, limit)
-        return pd.DataFrame([(track.track_id.iloc[0], p, *c[:4], *n) for p, c in zip(track.pos, out)], columns=[c.split()[0] for c in schema.split(", ")])
+        out, n = refine_track(given, track["source"], backend, start_id, end_id, limit)
+        return ((p, *c[:4], *n) for p, c in zip(track["pos"], out))
 
-    return rows.groupBy("track_id").applyInPandas(run, schema)
+    return by_tracks(rows, in_rows(run), schema)
 
 
 def window_images(cues: DataFrame, images: DataFrame, size: int, overlap: int) -> DataFrame:
